@@ -66,7 +66,7 @@ def loudness_db(text: Column, is_text: Column | bool) -> Column:
 
 def duration_ms(text: Column) -> Column:
     """``mm:ss``, ``hh:mm:ss``, seconds (below 1000) or milliseconds, to milliseconds."""
-    parts = F.filter(F.transform(F.split(F.trim(text), ":"), F.trim), lambda x: x != "")
+    parts = F.filter(F.transform(F.split(F.trim(text), ":"), lambda x: F.trim(x)), lambda x: x != "")
     clock_ok = F.trim(text).contains(":") & F.forall(parts, lambda x: x.rlike("^[0-9]+$"))
     at = lambda i: F.get(parts, F.lit(i)).try_cast("bigint")
     clock = F.when(F.size(parts) == 2, at(0) * 60 + at(1)).when(

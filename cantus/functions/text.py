@@ -64,7 +64,7 @@ def fold_name_literal(value: str) -> str:
 
 def split_clean(c: Column, pattern: str) -> Column:
     """Split on a character class, trim the parts, drop empty ones."""
-    return F.filter(F.transform(F.split(c, pattern), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(c, pattern), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def word_count(c: Column, empty_is_one: bool = False) -> Column:

@@ -45,7 +45,8 @@ def knn_join(probes: DataFrame, train: DataFrame, probe_id: str, train_id: str,
     centres = _pivots(base, "tid", pivots)
 
     def with_distances(df: DataFrame) -> DataFrame:
-        return df.withColumn("_d", F.transform(centres, lambda c: distance(F.col("vec"), c)))
+        tagged = df.withColumn("_centres", centres)
+        return tagged.withColumn("_d", F.transform("_centres", lambda c: distance(F.col("vec"), c))).drop("_centres")
 
     placed = with_distances(base).withColumn("td", F.array_min("_d"))
     placed = placed.withColumn("cell", (F.array_position("_d", F.col("td")) - 1).cast("int")).drop("_d")
@@ -57,20 +58,20 @@ def knn_join(probes: DataFrame, train: DataFrame, probe_id: str, train_id: str,
     cell_list = cells.agg(F.collect_list(F.struct("cell", "radius", "slices", "near"))).scalar()  # at most `pivots` cells
 
     wanted = probes.select(F.col(probe_id).alias("pid"), as_doubles.alias("vec"))
-    distinct = with_distances(wanted.select("vec").distinct())
+    distinct = with_distances(wanted.select("vec").distinct()).withColumn("_cells", cell_list)
     at = lambda c: F.get(F.col("_d"), c["cell"])
-    uppers = F.array_sort(F.flatten(F.transform(cell_list, lambda c: F.transform(c["near"], lambda t: at(c) + t))))
+    uppers = F.array_sort(F.flatten(F.transform("_cells", lambda c: F.transform(c["near"], lambda t: at(c) + t))))
     # a little slack: rounding of the bound must not lose a neighbour
     bound = F.coalesce(F.get(uppers, F.lit(need - 1)), F.lit(float("inf"))) * (1 + 1e-9) + 1e-9
     distinct = distinct.withColumn("bound", bound)
-    open_cells = F.filter(cell_list, lambda c: at(c) - c["radius"] <= F.col("bound"))
+    open_cells = F.filter("_cells", lambda c: at(c) - c["radius"] <= F.col("bound"))
     visits = distinct.select("vec", "bound", "_d", F.explode(open_cells).alias("c")).select(
         F.col("vec").alias("pvec"), "bound", F.get(F.col("_d"), F.col("c.cell")).alias("pd"), F.col("c.cell").alias("cell"),
         F.explode(F.sequence(F.lit(0), F.col("c.slices") - 1)).alias("slice"),
     )
-    # every cell's rows are spread over its slices; the slice count travels with the cell list
-    slices_of = F.aggregate(cell_list, F.lit(1), lambda acc, c: F.when(c["cell"] == F.col("cell"), c["slices"]).otherwise(acc))
-    sliced = placed.withColumn("slice", F.pmod(F.xxhash64("tid"), slices_of.cast("bigint")).cast("int"))
+    # every cell's rows are spread over its slices; one row per pivot is broadcast
+    sliced = placed.join(F.broadcast(cells.select("cell", "slices")), "cell")
+    sliced = sliced.withColumn("slice", F.pmod(F.xxhash64("tid"), F.col("slices").cast("bigint")).cast("int")).drop("slices")
     pairs = visits.join(sliced, ["cell", "slice"]).filter(F.abs(F.col("pd") - F.col("td")) <= F.col("bound"))
     scored = pairs.select("pvec", "bound", "tid", *carry, distance(F.col("pvec"), F.col("vec")).alias("distance"))
     scored = scored.filter(F.col("distance") <= F.col("bound"))
