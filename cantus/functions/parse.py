@@ -9,26 +9,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..fixed_values import MOOD_ALIASES, DEFAULT_MOOD, MOODS, TRACK_URL_PATTERN, TRACK_URL_PREFIX
+from ..fixed_values import DEFAULT_MOOD, MOOD_ALIASES, MOOD_CODE, MOODS, TRACK_URL_PATTERN, TRACK_URL_PREFIX
+from .const import mapping
 from .numeric import clip
 
 
-def lookup(mapping: dict) -> Column:
-    """A constant map expression; a missing key gives NULL."""
-    return F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
-
-
 def mood_alias(c: Column) -> Column:
     key = F.lower(F.trim(c.cast("string")))
-    return F.coalesce(F.element_at(lookup(MOOD_ALIASES), key), F.lit(DEFAULT_MOOD))
+    return F.coalesce(F.element_at(mapping(MOOD_ALIASES), key), F.lit(DEFAULT_MOOD))
 
 
 def mood_name(code: Column) -> Column:
-    return F.element_at(lookup(dict(enumerate(MOODS))), code.cast("int"))
+    return F.element_at(mapping(dict(enumerate(MOODS))), code.cast("int"))
 
 
 def mood_code(name: Column) -> Column:
-    return F.element_at(lookup({m: i for i, m in enumerate(MOODS)}), name)
+    return F.element_at(mapping(MOOD_CODE), name)
 
 
 def track_id_from_url(url: Column, pattern: str = TRACK_URL_PATTERN) -> Column:

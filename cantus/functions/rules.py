@@ -6,7 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..fixed_values import GENERAL_ACTIVITY, MOODS, REASONS
-from .numeric import clip, sigmoid, zero_if_null
 
 
 def context_tag(energy: Column, valence: Column, acousticness: Column) -> Column:
@@ -49,13 +48,14 @@ CALM_LYRICS_WEIGHT = 0.10
 
 
 def calm_signal(columns: list[str]) -> Column:
-    """How calm a (scaled) track sounds, in [0, 1]; a missing column counts as 0."""
-    value = lambda name: zero_if_null(F.col(name)) if name in columns else F.lit(0.0)
-    total = F.lit(0.0)
-    for name, (sign, shift, slope, weight) in CALM_TERMS.items():
-        total = total + weight * sigmoid(slope * (sign * value(name) - shift))
-    total = total + CALM_LYRICS_WEIGHT * clip(value("lyrics_proba_calm"), 0.0, 1.0)
-    return clip(total, 0.0, 1.0)
+    """How calm a (scaled) track sounds, in [0, 1]; a missing column or value counts as 0."""
+    value = lambda c: f"nanvl(coalesce(try_cast(`{c}` AS DOUBLE), 0D), 0D)" if c in columns else "0D"
+    term = lambda c, sign, shift, slope, weight: (
+        f"{weight}D / (1D + exp(-greatest(least({slope}D * ({sign} * {value(c)} - {shift}D), 20D), -20D)))"
+    )
+    terms = [term(c, *spec) for c, spec in CALM_TERMS.items()]
+    lyrics = f"{CALM_LYRICS_WEIGHT}D * least(greatest({value('lyrics_proba_calm')}, 0D), 1D)"
+    return F.expr(f"least(greatest({' + '.join([*terms, lyrics])}, 0D), 1D)")
 
 
 def _floor_and_scale(w: dict[str, Column]) -> dict[str, Column]:
@@ -101,14 +101,24 @@ def _pick(branch: Column, table: dict[str, float], default: float) -> Column:
     return F.lit(default) if expr is None else expr.otherwise(default)
 
 
-def training_weights(mood: Column, energy: Column, calm: Column, positivity: Column) -> dict[str, Column]:
-    """Mood weights for training targets; every rule that holds adds up."""
-    when = lambda cond, value: F.when(cond, value).otherwise(0.0)
-    start = {"sad": 0.05, "happy": 0.25, "energetic": 0.25, "calm": 0.20}
-    w = {m: start[m] + when(mood == m, 0.35) for m in MOODS}
-    active, quiet, bright = energy > 0.65, calm > 0.65, positivity > 0.70
-    w["energetic"] = w["energetic"] + when(active, 0.35) - when(quiet, 0.15)
-    w["happy"] = w["happy"] + when(active, 0.20) + when(bright, 0.25)
-    w["sad"] = w["sad"] + when(active & (mood == "sad"), 0.10) - when(bright, 0.05)
-    w["calm"] = w["calm"] - when(active, 0.10) + when(quiet, 0.35)
-    return _floor_and_scale(w)
+# need -> (threshold, {mood: change}); every rule whose need exceeds its threshold adds up
+TRAINING_START = {"sad": 0.05, "happy": 0.25, "energetic": 0.25, "calm": 0.20}
+TRAINING_ASKED = 0.35
+TRAINING_RULES = {
+    "activity_energy": (0.65, {"energetic": 0.35, "happy": 0.20, "calm": -0.10}),
+    "activity_calm": (0.65, {"calm": 0.35, "energetic": -0.15}),
+    "activity_positivity": (0.70, {"happy": 0.25, "sad": -0.05}),
+}
+TRAINING_SAD_ACTIVE = 0.10  # added to sad when a sad listener is active
+
+
+def training_weights(mood: str, profile: dict[str, float]) -> dict[str, float]:
+    """Mood weights of one cell of the training grid (constants, so worked out on the driver)."""
+    active = profile["activity_energy"] > TRAINING_RULES["activity_energy"][0]
+    changes = [ch for need, (limit, ch) in TRAINING_RULES.items() if profile[need] > limit]
+    changes.append({mood: TRAINING_ASKED})
+    if mood == "sad" and active:
+        changes.append({"sad": TRAINING_SAD_ACTIVE})
+    raw = {m: max(base + sum(ch.get(m, 0.0) for ch in changes), 0.0) for m, base in TRAINING_START.items()}
+    scale = sum(raw.values())
+    return {m: v / scale for m, v in raw.items()}

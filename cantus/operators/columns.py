@@ -129,6 +129,15 @@ def display_names(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed({old: new for old, new in names.items() if old in df.columns})
 
 
+def attach(df: DataFrame, one_row: DataFrame, name: str) -> DataFrame:
+    """A one-row table as one struct column (a scalar subquery, planned once, no join).
+
+    Refer to its fields as ``name.field``: using the subquery expression itself several times
+    would plan it several times.
+    """
+    return df.withColumn(name, one_row.select(F.struct("*")).scalar())
+
+
 def unpivot_row(row: DataFrame, names: list[str], fields: dict[str, str], key: str = "feature") -> DataFrame:
     """A one-row aggregate with columns ``<field>|<name>`` as one row per name."""
     structs = [

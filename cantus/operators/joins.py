@@ -86,16 +86,8 @@ def split_report(train: DataFrame, test: DataFrame, features: list[str], label:
             F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias(f"{side}_duplicate_feature_rows"),
         )
 
-    left = counts(tr, "same", "train").select(F.struct("*")).scalar()
-    right = counts(te, "n_test", "test").select(F.struct("*")).scalar()
-    return overlap.withColumns(
-        {
-            "train_rows": left["train_rows"],
-            "test_rows": right["test_rows"],
-            "train_duplicate_feature_rows": left["train_duplicate_feature_rows"],
-            "test_duplicate_feature_rows": right["test_duplicate_feature_rows"],
-        }
-    )
+    both = C.attach(C.attach(overlap, counts(tr, "same", "train"), "_a"), counts(te, "n_test", "test"), "_b")
+    return both.select(*overlap.columns, "_a.*", "_b.*")
 
 
 def unseen(pool: DataFrame, seen: DataFrame, key: list[str]) -> DataFrame:

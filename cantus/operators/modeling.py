@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..fixed_values import MOODS, PROFILE, RECOMMENDER_FEATURES
 from . import evaluate as E
 from . import ranking as K
+from .columns import attach
 
 SEED = 42
 MODEL_INPUTS = (*RECOMMENDER_FEATURES, *[f"proba_{m}" for m in MOODS], *[f"user_mood_{m}" for m in MOODS], *PROFILE)
@@ -55,10 +56,9 @@ def modelling_split(train: DataFrame, test: DataFrame, features: list[str], labe
 def balanced_weights(df: DataFrame, label: str, classes: list, to: str = "weight") -> DataFrame:
     """n / (classes * n_class) per row, by scalar subquery."""
     counts = df.agg(F.count("*").alias("n"), *[F.count_if(F.col(label) == F.lit(c)).alias(f"c{i}") for i, c in enumerate(classes)])
-    row = counts.select(F.struct("*")).scalar()
-    present = sum((F.when(row[f"c{i}"] > 0, 1).otherwise(0) for i in range(len(classes))), F.lit(0))
-    weight = F.coalesce(*[F.when(F.col(label) == F.lit(c), row["n"] / (present * row[f"c{i}"])) for i, c in enumerate(classes)])
-    return df.withColumn(to, weight)
+    present = sum((F.when(F.col(f"_n.c{i}") > 0, 1).otherwise(0) for i in range(len(classes))), F.lit(0))
+    own = F.coalesce(*[F.when(F.col(label) == F.lit(c), F.col(f"_n.c{i}")) for i, c in enumerate(classes)])
+    return attach(df, counts, "_n").withColumn(to, F.col("_n.n") / (present * own)).drop("_n")
 
 
 def _inputs(features: list[str], impute: bool = True):
@@ -128,21 +128,36 @@ def cv_table(spark, model: str, results: list[tuple[str, float]], metric: str) -
     return spark.createDataFrame([(model, p, v) for p, v in results], f"model string, params string, {metric} double")
 
 
+def fit(pipeline: Pipeline, df: DataFrame) -> PipelineModel:
+    """Fit on a persisted copy: every iteration reads it again."""
+    kept = df.persist()
+    try:
+        return pipeline.fit(kept)
+    finally:
+        kept.unpersist()
+
+
 def search_classifiers(df: DataFrame, features: list[str], label: str, classes: list, key: list[str], grids: dict = CLASSIFIER_GRID, k: int = 3):
     """Stratified k-fold macro-F1 search over all classifier kinds: {kind: (model, results)}."""
-    folds = K.fold_column(balanced_weights(df, label, classes), key, k, label, classes)
-    total = float(df.count())  # balanced weights sum to the number of rows
+    folds = K.fold_column(balanced_weights(df, label, classes), key, k, label, classes).persist()
+    total = float(folds.count())  # balanced weights sum to the number of rows
     evaluator = MacroF1(labelCol=label, labels=classes)
     make = lambda kind: lambda **p: classifier_pipeline(kind, features, label, total_weight=total, **p)
-    return {kind: grid_search(folds, make(kind), options, evaluator, k=k) for kind, options in grids.items()}
+    try:
+        return {kind: grid_search(folds, make(kind), options, evaluator, k=k) for kind, options in grids.items()}
+    finally:
+        folds.unpersist()
 
 
 def search_regressors(df: DataFrame, key: list[str], features: tuple[str, ...] = MODEL_INPUTS, label: str = "target_score",
                       grids: dict = REGRESSOR_GRID, k: int = 3):
-    folds = K.fold_column(df, key, k)
+    folds = K.fold_column(df, key, k).persist()
     evaluator = RegressionEvaluator(labelCol=label, metricName="rmse")
     make = lambda kind: lambda **p: regressor_pipeline(kind, list(features), label, **p)
-    return {kind: grid_search(folds, make(kind), options, evaluator, k=k) for kind, options in grids.items()}
+    try:
+        return {kind: grid_search(folds, make(kind), options, evaluator, k=k) for kind, options in grids.items()}
+    finally:
+        folds.unpersist()
 
 
 def score_classifier(model: PipelineModel, df: DataFrame, n_classes: int, prefix: str = "p") -> DataFrame:
@@ -175,7 +190,7 @@ def importances(model: PipelineModel, features: list[str], spark) -> DataFrame:
 def learning_curve(df: DataFrame, make, evaluator: Evaluator, key: list[str], label: str, classes: list, k: int = 3,
                    shares: tuple[float, ...] = (0.2, 0.4, 0.6, 0.8, 1.0)) -> list[tuple[float, int, float, float]]:
     """(share, fold, train metric, validation metric): fits on growing hash prefixes of each fold's rest."""
-    folds = K.fold_column(df, key, k, label, classes)
+    folds = K.fold_column(df, key, k, label, classes).persist()
     out = []
     for fold in range(k):
         rest, held = folds.filter(F.col("fold") != fold), folds.filter(F.col("fold") == fold)
@@ -183,4 +198,5 @@ def learning_curve(df: DataFrame, make, evaluator: Evaluator, key: list[str], la
             part = rest if share >= 1.0 else K.sample_share(rest, key, share, "curve")
             model = make().fit(part)
             out.append((share, fold, evaluator.evaluate(model.transform(part)), evaluator.evaluate(model.transform(held))))
+    folds.unpersist()
     return out

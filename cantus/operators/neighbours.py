@@ -13,22 +13,46 @@ be among the k nearest), and equal probes are searched once.  A large cell is sp
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import ranking as K
 
 SLICE_ROWS = 50_000
 
 
-def distance(a: Column, b: Column) -> Column:
-    return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
+def _pair_distance():
+    """Row-wise distance of two vector columns, one Arrow batch at a time."""
 
+    def compute(a: pd.Series, b: pd.Series) -> pd.Series:
+        if not len(a):
+            return pd.Series([], dtype="float64")
+        gap = np.stack(a.to_numpy()) - np.stack(b.to_numpy())
+        return pd.Series(np.sqrt((gap * gap).sum(axis=1)))
 
-def _pivots(train: DataFrame, id_column: str, n: int) -> Column:
-    chosen = train.orderBy(K.row_hash([id_column], "pivot")).limit(n)
-    return chosen.agg(F.array_sort(F.collect_list("vec"))).scalar()
+    return F.pandas_udf(compute, T.DoubleType())
+
+
+def _pivot_distances(pivots: list[list[float]]):
+    """Distances of a vector column to the (few) pivots."""
+    centres = np.asarray(pivots, dtype="float64")
+
+    def compute(v: pd.Series) -> pd.Series:
+        if not len(v):
+            return pd.Series([], dtype=object)
+        gap = np.stack(v.to_numpy())[:, None, :] - centres[None, :, :]
+        return pd.Series(list(np.sqrt((gap * gap).sum(axis=2))))
+
+    return F.pandas_udf(compute, T.ArrayType(T.DoubleType()))
+
+
+def _pivots(train: DataFrame, id_column: str, n: int) -> list[list[float]]:
+    """The n vectors lowest in hash order; n is a small constant."""
+    return [list(r["vec"]) for r in train.orderBy(K.row_hash([id_column], "pivot")).limit(n).select("vec").collect()]
 
 
 def knn_join(probes: DataFrame, train: DataFrame, probe_id: str, train_id: str, vector: str, k: int = 5,
@@ -42,11 +66,10 @@ def knn_join(probes: DataFrame, train: DataFrame, probe_id: str, train_id: str,
     base = train.select(F.col(train_id).alias("tid"), as_doubles.alias("vec"), *carry)
     copies = W.partitionBy("vec").orderBy("tid")
     base = base.withColumn("_c", F.row_number().over(copies)).filter(F.col("_c") <= need).drop("_c")
-    centres = _pivots(base, "tid", pivots)
+    to_pivots = _pivot_distances(_pivots(base, "tid", pivots))
 
     def with_distances(df: DataFrame) -> DataFrame:
-        tagged = df.withColumn("_centres", centres)
-        return tagged.withColumn("_d", F.transform("_centres", lambda c: distance(F.col("vec"), c))).drop("_centres")
+        return df.withColumn("_d", to_pivots("vec"))
 
     placed = with_distances(base).withColumn("td", F.array_min("_d"))
     placed = placed.withColumn("cell", (F.array_position("_d", F.col("td")) - 1).cast("int")).drop("_d")
@@ -58,27 +81,26 @@ def knn_join(probes: DataFrame, train: DataFrame, probe_id: str, train_id: str,
     cell_list = cells.agg(F.collect_list(F.struct("cell", "radius", "slices", "near"))).scalar()  # at most `pivots` cells
 
     wanted = probes.select(F.col(probe_id).alias("pid"), as_doubles.alias("vec"))
-    distinct = with_distances(wanted.select("vec").distinct()).withColumn("_cells", cell_list)
+    same = wanted.groupBy("vec").agg(F.min("pid").alias("rep"))  # equal probes are searched once
+    distinct = with_distances(same).withColumn("_cells", cell_list)
     at = lambda c: F.get(F.col("_d"), c["cell"])
     uppers = F.array_sort(F.flatten(F.transform("_cells", lambda c: F.transform(c["near"], lambda t: at(c) + t))))
     # a little slack: rounding of the bound must not lose a neighbour
     bound = F.coalesce(F.get(uppers, F.lit(need - 1)), F.lit(float("inf"))) * (1 + 1e-9) + 1e-9
     distinct = distinct.withColumn("bound", bound)
     open_cells = F.filter("_cells", lambda c: at(c) - c["radius"] <= F.col("bound"))
-    visits = distinct.select("vec", "bound", "_d", F.explode(open_cells).alias("c")).select(
-        F.col("vec").alias("pvec"), "bound", F.get(F.col("_d"), F.col("c.cell")).alias("pd"), F.col("c.cell").alias("cell"),
+    visits = distinct.select("rep", "vec", "bound", "_d", F.explode(open_cells).alias("c")).select(
+        "rep", F.col("vec").alias("pvec"), "bound", F.get(F.col("_d"), F.col("c.cell")).alias("pd"), F.col("c.cell").alias("cell"),
         F.explode(F.sequence(F.lit(0), F.col("c.slices") - 1)).alias("slice"),
     )
     # every cell's rows are spread over its slices; one row per pivot is broadcast
     sliced = placed.join(F.broadcast(cells.select("cell", "slices")), "cell")
     sliced = sliced.withColumn("slice", F.pmod(F.xxhash64("tid"), F.col("slices").cast("bigint")).cast("int")).drop("slices")
     pairs = visits.join(sliced, ["cell", "slice"]).filter(F.abs(F.col("pd") - F.col("td")) <= F.col("bound"))
-    scored = pairs.select("pvec", "bound", "tid", *carry, distance(F.col("pvec"), F.col("vec")).alias("distance"))
-    scored = scored.filter(F.col("distance") <= F.col("bound"))
+    scored = pairs.select("rep", "tid", *carry, _pair_distance()("pvec", "vec").alias("distance"))
     rounded = F.round("distance", 9)
-    best = K.top_k_per(scored, ["pvec"], need, [rounded.asc(), F.col("tid").asc()], rank="rank")
-    best = best.select("pvec", "tid", "distance", *carry)
-    out = wanted.join(best, wanted["vec"] == best["pvec"]).select("pid", "tid", "distance", *carry)
+    best = K.top_k_per(scored, ["rep"], need, [rounded.asc(), F.col("tid").asc()], rank="rank").drop("rank")
+    out = wanted.join(same, "vec").select("pid", "rep").join(best, "rep").drop("rep")
     if exclude_self:
         out = out.filter(F.col("pid") != F.col("tid"))
     out = K.top_k_per(out, ["pid"], k, [F.round("distance", 9).asc(), F.col("tid").asc()], rank="rank")

@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..fixed_values import DEFAULT_PHRASES, PROFILE, PROTOTYPES
+from ..functions import const
 from ..functions import text as X
 from . import activity as A
 
@@ -93,7 +94,7 @@ def nearest_phrases(texts: DataFrame, key: str, text: str, rows: DataFrame, k: i
     unit = F.col("w") / F.col("norm") / F.sqrt(F.col("blocks").cast("double"))
     dots = hits.select(key, unit.alias("u"), F.explode("postings").alias("p"))
     dots = dots.select(key, F.col("p.phrase_id").alias("phrase_id"), (F.col("u") * F.col("p.w")).alias("dot"))
-    fillers = F.array(*[F.lit(i) for i in range(2 * k - 1)])  # enough low ids even if k - 1 of them match
+    fillers = const.array(range(2 * k - 1))  # enough low ids even if k - 1 of them match
     zero = by_id.select(key, F.explode(fillers).alias("phrase_id"), F.lit(0.0).alias("dot"))
     scored = dots.unionByName(zero).groupBy(key, "phrase_id").agg(F.greatest(1.0 - F.sum("dot"), F.lit(0.0)).alias("distance"))
     order = W.partitionBy(key).orderBy(F.round("distance", 12), "phrase_id")
@@ -110,9 +111,7 @@ def classify_texts(texts: DataFrame, key: str, text: str, phrases: dict[str, tup
     rows = phrase_rows(texts.sparkSession, phrases)
     near = nearest_phrases(texts, key, text, rows, k).join(F.broadcast(rows.select("phrase_id", "activity_name")), "phrase_id")
     votes = near.groupBy(key, "activity_name").agg(F.sum("weight").alias("w"))
-    value = lambda i: F.element_at(
-        F.create_map(*[F.lit(x) for n, v in prototypes.items() for x in (n, float(v[i]))]), F.col("activity_name")
-    )
+    value = lambda i: F.element_at(const.mapping({n: float(v[i]) for n, v in prototypes.items()}), F.col("activity_name"))
     total = F.sum("w")
     return votes.groupBy(key).agg(
         F.min_by("activity_name", F.struct((-F.round(F.col("w") / F.lit(1.0), 9)).alias("w"), F.col("activity_name").alias("a"))).alias("label"),

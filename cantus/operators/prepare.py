@@ -9,7 +9,7 @@ from ..fixed_values import DEFAULT_LEXICON, UNIT_FEATURES
 from ..functions import numeric as N
 from ..functions import text as X
 from . import quantiles as QT
-from .columns import unpivot_row
+from .columns import attach, unpivot_row
 
 
 def majority_label(df: DataFrame, features: list[str], label: str) -> DataFrame:
@@ -69,11 +69,10 @@ def clip_iqr(df: DataFrame, features: list[str], exact: bool = False) -> DataFra
     free = [f for f in features if f not in UNIT_FEATURES]
     if not free:
         return df
-    bounds = iqr_bounds(df, free, exact=exact).select(F.struct("*")).scalar()
-    clipped = lambda f: F.when(F.col(f) < bounds[f]["lo"], bounds[f]["lo"]).when(
-        F.col(f) > bounds[f]["hi"], bounds[f]["hi"]
-    ).otherwise(F.col(f))
-    return df.withColumns({f: clipped(f) for f in free})
+    bounded = attach(df, iqr_bounds(df, free, exact=exact), "_b")
+    lo, hi = (lambda f: F.col(f"_b.{f}.lo")), (lambda f: F.col(f"_b.{f}.hi"))
+    clipped = lambda f: F.when(F.col(f) < lo(f), lo(f)).when(F.col(f) > hi(f), hi(f)).otherwise(F.col(f))
+    return bounded.withColumns({f: clipped(f) for f in free}).drop("_b")
 
 
 def scaler_stats(df: DataFrame, features: list[str]) -> DataFrame:
@@ -83,29 +82,27 @@ def scaler_stats(df: DataFrame, features: list[str]) -> DataFrame:
     return out.withColumn("std", F.coalesce(F.nullif(F.col("std"), F.lit(0.0)), F.lit(1.0)))
 
 
-def _stats_row(stats: DataFrame, features: list[str]):
-    """The tall table as one struct, by scalar subquery: no join, no driver round trip."""
+def _with_stats(df: DataFrame, stats: DataFrame, features: list[str]) -> DataFrame:
+    """The tall table as one struct column: no join, no driver round trip."""
     cell = lambda f, v: F.max(F.when(F.col("feature") == f, F.col(v)))
     row = stats.agg(*[F.struct(cell(f, "mean").alias("mean"), cell(f, "std").alias("std")).alias(f) for f in features])
-    return row.select(F.struct("*")).scalar()
+    return attach(df, row, "_s")
 
 
 def apply_scaler(df: DataFrame, stats: DataFrame, features: list[str]) -> DataFrame:
     """Z-score with supplied statistics; features without statistics stay as they are."""
     names = [f for f in features if f in df.columns]
-    s = _stats_row(stats, names)
-    std = lambda f: F.coalesce(F.nullif(s[f]["std"], F.lit(0.0)), F.lit(1.0))
-    return df.withColumns(
-        {f: F.when(s[f]["mean"].isNull(), F.col(f).cast("double")).otherwise(N.zscore(F.col(f), s[f]["mean"], std(f))) for f in names}
-    )
+    mean = lambda f: F.col(f"_s.{f}.mean")
+    std = lambda f: F.coalesce(F.nullif(F.col(f"_s.{f}.std"), F.lit(0.0)), F.lit(1.0))
+    scaled = lambda f: F.when(mean(f).isNull(), F.col(f).cast("double")).otherwise(N.zscore(F.col(f), mean(f), std(f)))
+    return _with_stats(df, stats, names).withColumns({f: scaled(f) for f in names}).drop("_s")
 
 
 def invert_scaler(df: DataFrame, stats: DataFrame, features: list[str]) -> DataFrame:
     names = [f for f in features if f in df.columns]
-    s = _stats_row(stats, names)
-    return df.withColumns(
-        {f: F.when(s[f]["mean"].isNull(), F.col(f)).otherwise(N.unscale(F.col(f), s[f]["mean"], s[f]["std"])) for f in names}
-    )
+    mean, std = (lambda f: F.col(f"_s.{f}.mean")), (lambda f: F.col(f"_s.{f}.std"))
+    original = lambda f: F.when(mean(f).isNull(), F.col(f)).otherwise(N.unscale(F.col(f), mean(f), std(f)))
+    return _with_stats(df, stats, names).withColumns({f: original(f) for f in names}).drop("_s")
 
 
 def lexicon_rates(df: DataFrame, text: str, lexicon: dict[str, tuple[str, ...]] = DEFAULT_LEXICON,

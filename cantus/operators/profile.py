@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import quantiles as QT
-from .columns import catalog_type, unpivot_row
+from .columns import attach, catalog_type, unpivot_row
 
 PERCENTILES = {"p01": 0.01, "p05": 0.05, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95, "p99": 0.99}
 
@@ -237,12 +237,11 @@ def cohen_d(base: DataFrame, others: dict[str, DataFrame], features: list[str])
 def histogram(df: DataFrame, features: list[str], bins: int = 20) -> DataFrame:
     """Equal-width bins between each feature's minimum and maximum: ``(feature, bin, n)``."""
     row = df.agg(*[F.struct(F.min(F.col(f).cast("double")).alias("lo"), F.max(F.col(f).cast("double")).alias("hi")).alias(f) for f in features])
-    b = row.select(F.struct("*")).scalar()
-    bin_of = lambda f: F.least(
-        F.coalesce(F.floor(F.try_divide(F.col(f).cast("double") - b[f]["lo"], b[f]["hi"] - b[f]["lo"]) * bins), F.lit(0)), F.lit(bins - 1)
-    )
+    lo, hi = (lambda f: F.col(f"_b.{f}.lo")), (lambda f: F.col(f"_b.{f}.hi"))
+    place = lambda f: F.floor(F.try_divide(F.col(f).cast("double") - lo(f), hi(f) - lo(f)) * bins)
+    bin_of = lambda f: F.least(F.coalesce(place(f), F.lit(0)), F.lit(bins - 1))
     cells = F.array(*[F.struct(F.lit(f).alias("feature"), F.when(F.col(f).isNotNull(), bin_of(f)).alias("bin")) for f in features])
-    return df.select(F.inline(cells)).filter("bin is not null").groupBy("feature", "bin").agg(F.count("*").alias("n"))
+    return attach(df, row, "_b").select(F.inline(cells)).filter("bin is not null").groupBy("feature", "bin").agg(F.count("*").alias("n"))
 
 
 def box_summary(df: DataFrame, features: list[str]) -> DataFrame:

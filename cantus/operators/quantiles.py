@@ -11,13 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.const import sql
+
 ACCURACY = 10_000
 
 
 def tall(df: DataFrame, features: list[str], group: list[str] = ()) -> DataFrame:
     """``(group.., feature, x)``, nulls removed."""
-    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x")) for f in features])
-    return df.select(*group, F.inline(pairs)).filter(F.col("x").isNotNull())
+    pairs = ", ".join(f"named_struct('feature', {sql(f)}, 'x', CAST(`{f}` AS DOUBLE))" for f in features)
+    return df.select(*group, F.expr(f"inline(array({pairs}))")).filter("x IS NOT NULL")
 
 
 def approximate(df: DataFrame, features: list[str], probs: list[float], relative_error: float = 0.001) -> DataFrame:
@@ -32,40 +34,21 @@ def approximate(df: DataFrame, features: list[str], probs: list[float], relative
 def exact(df: DataFrame, features: list[str], probs: list[float], accuracy: int = ACCURACY) -> DataFrame:
     """``(feature, prob, q)`` with linear interpolation between the two nearest ranks."""
     margin = 4.0 / accuracy
-    lows = [max(p - margin, 0.0) for p in probs]
-    highs = [min(p + margin, 1.0) for p in probs]
-    x = lambda f: F.col(f).cast("double")
-    sketch = df.agg(
-        *[
-            F.struct(
-                F.count(x(f)).alias("n"),
-                F.min(x(f)).alias("lo"),
-                F.max(x(f)).alias("hi"),
-                F.percentile_approx(x(f), lows, accuracy).alias("lows"),
-                F.percentile_approx(x(f), highs, accuracy).alias("highs"),
-            ).alias(f)
-            for f in features
-        ]
-    )
-    small = lambda s: s["n"] < 2 * accuracy  # noqa: E731  few rows: the whole range is the bracket
-    brackets = sketch.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(f).alias("feature"),
-                        F.lit(i).alias("i"),
-                        F.lit(float(p)).alias("prob"),
-                        F.col(f)["n"].alias("n"),
-                        F.when(small(F.col(f)), F.col(f)["lo"]).otherwise(F.get(F.col(f)["lows"], F.lit(i))).alias("lo"),
-                        F.when(small(F.col(f)), F.col(f)["hi"]).otherwise(F.get(F.col(f)["highs"], F.lit(i))).alias("hi"),
-                    )
-                    for f in features
-                    for i, p in enumerate(probs)
-                ]
-            )
-        )
+    lows = sql([max(float(p) - margin, 0.0) for p in probs])
+    highs = sql([min(float(p) + margin, 1.0) for p in probs])
+    summary = (
+        "named_struct('n', count({x}), 'lo', min({x}), 'hi', max({x}), "
+        f"'lows', percentile_approx({{x}}, {lows}, {accuracy}), 'highs', percentile_approx({{x}}, {highs}, {accuracy})) AS `{{f}}`"
     )
+    sketch = df.agg(*[F.expr(summary.format(x=f"CAST(`{f}` AS DOUBLE)", f=f)) for f in features])
+    # few rows: the whole range is the bracket
+    end = lambda f, whole, part, i: f"IF(`{f}`.n < {2 * accuracy}, `{f}`.{whole}, `{f}`.{part}[{i}])"
+    cells = [
+        f"named_struct('feature', {sql(f)}, 'prob', {float(p)!r}D, 'n', `{f}`.n, 'lo', {end(f, 'lo', 'lows', i)}, 'hi', {end(f, 'hi', 'highs', i)})"
+        for f in features
+        for i, p in enumerate(probs)
+    ]
+    brackets = sketch.select(F.expr(f"inline(array({', '.join(cells)}))"))
     values = tall(df, features)
     # features x probs rows: a constant-size table
     near = values.join(F.broadcast(brackets), "feature")

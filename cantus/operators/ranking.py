@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .columns import attach
+
 
 def keep_one(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
     """One row per key: the first by a total order."""
@@ -101,17 +103,17 @@ def hash_cuts(df: DataFrame, key: list[str], shares: list[float], label: str | N
     return locate(level3, "h", "need2").select("label", "cut", F.col("h").alias("hash"))
 
 
-def _cut_column(cuts: DataFrame, classes: list | None, label: Column, cut: int) -> Column:
-    """The cut hash of a row's class, taken from a one-row aggregate (scalar subquery)."""
+def _with_cuts(df: DataFrame, cuts: DataFrame, label: str | None, classes: list | None, n: int, to: str = "_cuts") -> DataFrame:
+    """The n cut hashes of each row's class as an array column, from a one-row aggregate."""
+    groups = classes if classes is not None else ["all"]
+    cell = lambda c, j: F.max(F.when((F.col("label") == F.lit(c)) & (F.col("cut") == j), F.col("hash")))
+    row = cuts.agg(*[F.array(*[cell(c, j) for j in range(n)]).alias(f"c{i}") for i, c in enumerate(groups)])
+    out = attach(df, row, "_row")
     if classes is None:
-        return cuts.filter(F.col("cut") == cut).agg(F.max("hash")).scalar()
-    picks = [F.max(F.when((F.col("label") == F.lit(c)) & (F.col("cut") == cut), F.col("hash"))).alias(f"c{i}")
-             for i, c in enumerate(classes)]
-    row = cuts.agg(*picks).select(F.struct("*")).scalar()
-    expr = None
-    for i, c in enumerate(classes):
-        expr = F.when(label == F.lit(c), row[f"c{i}"]) if expr is None else expr.when(label == F.lit(c), row[f"c{i}"])
-    return expr
+        own = F.col("_row.c0")
+    else:
+        own = F.coalesce(*[F.when(F.col(label) == F.lit(c), F.col(f"_row.c{i}")) for i, c in enumerate(classes)])
+    return out.withColumn(to, own).drop("_row")
 
 
 def stratified_split(df: DataFrame, label: str, classes: list, key: list[str], share: float = 0.8,
@@ -121,10 +123,10 @@ def stratified_split(df: DataFrame, label: str, classes: list, key: list[str], s
     The class list is a parameter (it is fixed in a classification task); other classes get NULL.
     """
     cuts = hash_cuts(df, key, [share], label, classes, salt=salt)
-    cut = _cut_column(cuts, classes, F.col(label), 0)
     # a class too small for one row has no cut: everything is outside
-    inside = F.coalesce(row_hash(key, salt) <= cut, F.lit(False))
-    return df.withColumn(to, F.when(F.col(label).isin(classes), inside))
+    inside = F.coalesce(row_hash(key, salt) <= F.get("_cuts", F.lit(0)), F.lit(False))
+    out = _with_cuts(df, cuts, label, classes, 1)
+    return out.withColumn(to, F.when(F.col(label).isin(classes), inside)).drop("_cuts")
 
 
 def fold_column(df: DataFrame, key: list[str], k: int, label: str | None = None, classes: list | None = None,
@@ -132,19 +134,15 @@ def fold_column(df: DataFrame, key: list[str], k: int, label: str | None = None,
     """Fold number 0..k-1, equal sizes (per class when stratified), by ranges of hash order."""
     shares = [i / k for i in range(1, k)]
     cuts = hash_cuts(df, key, shares, label, classes, salt=salt)
-    h = row_hash(key, salt)
-    fold = F.lit(0)
-    for i in range(k - 1):
-        cut = _cut_column(cuts, classes, F.col(label) if label else F.lit("all"), i)
-        fold = fold + F.when(F.coalesce(h > cut, F.lit(True)), 1).otherwise(0)
-    return df.withColumn(to, fold.cast("int"))
+    out = _with_cuts(df, cuts, label, classes, k - 1).withColumn("_h", row_hash(key, salt))
+    passed = F.size(F.filter("_cuts", lambda c: c.isNull() | (F.col("_h") > c)))
+    return out.withColumn(to, passed).drop("_cuts", "_h")
 
 
 def sample_rows(df: DataFrame, key: list[str], n: int, salt: str = "42") -> DataFrame:
     """Exactly n rows (all, when there are fewer) in hash order: reproducible, no global sort."""
     cuts = hash_cuts(df, key, [1.0], rows=n, salt=salt)
-    cut = _cut_column(cuts, None, F.lit("all"), 0)
-    return df.filter(row_hash(key, salt) <= cut)
+    return _with_cuts(df, cuts, None, None, 1).filter(row_hash(key, salt) <= F.get("_cuts", F.lit(0))).drop("_cuts")
 
 
 def sample_share(df: DataFrame, key: list[str], share: float, salt: str = "") -> DataFrame:

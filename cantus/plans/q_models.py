@@ -40,7 +40,7 @@ def deduplicated_split(spark, sf):
 def _fit(spark, sf, kind, **params):
     data = K.stratified_split(labelled(spark, sf), "label", CLASSES, ["row_id"])
     train = L.balanced_weights(data.filter("is_train"), "label", CLASSES)
-    return L.classifier_pipeline(kind, FEATURES, "label", total_weight=1000.0, **params).fit(train), data.filter("not is_train")
+    return L.fit(L.classifier_pipeline(kind, FEATURES, "label", total_weight=1000.0, **params), train), data.filter("not is_train")
 
 
 @query("logistic_regression_scores")
@@ -104,7 +104,7 @@ def recommender_regressors(spark, sf):
     train, test = (K.sample_share(_training(spark, sf), ["row_key"], 0.2, "train"), K.sample_share(_training(spark, sf), ["row_key"], 0.05, "test"))
     out = None
     for kind, params in {"random_forest": {"n_trees": 10, "max_depth": 8}, "gbt": {"max_iter": 5, "max_depth": 4}}.items():
-        model = L.regressor_pipeline(kind, list(L.MODEL_INPUTS), **params).fit(train)
+        model = L.fit(L.regressor_pipeline(kind, list(L.MODEL_INPUTS), **params), train)
         one = E.regression_report(model.transform(test), "target_score", "prediction", (0.0, 1.0)).withColumn("model", F.lit(kind))
         out = one if out is None else out.unionByName(one)
     return out
@@ -124,7 +124,7 @@ def recommender_search(spark, sf):
 @query("recommend_with_model")
 def recommend_with_model(spark, sf):
     train = K.sample_share(_training(spark, sf), ["row_key"], 0.2, "train")
-    model = L.regressor_pipeline("random_forest", list(L.MODEL_INPUTS), n_trees=10, max_depth=6).fit(train)
+    model = L.fit(L.regressor_pipeline("random_forest", list(L.MODEL_INPUTS), n_trees=10, max_depth=6), train)
     catalog = classified(spark, sf)
     out = R.recommend(catalog, REQUESTS, model=L.as_score_model(model))
     return out.select("request_id", "rank", "track_id", "predicted_mood", "recommendation_score")

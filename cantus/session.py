@@ -22,6 +22,8 @@ def build_session(app: str = "cantus", master: str | None = None, **conf: str) -
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # call-site capture on every column call makes building large plans several times slower
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():
