@@ -4,8 +4,9 @@
    nearest pivot's cell.
 2. From each cell's radius and its k rows closest to the pivot follows, per probe, an upper bound
    for its k-th distance; cells that cannot hold anything nearer are skipped.
-3. Probes are joined with the cells left (an equi-join), rows that the triangle inequality rules
-   out are dropped before the distance is computed, and the best k per probe are kept.
+3. Probes meet the cells left in blocks of bounded size (an equi-join by cell, slice and chunk),
+   rows that the triangle inequality rules out are skipped, and only each block's best k per probe
+   leave it.  Ids must be integers.
 
 Copies of a training vector are reduced to the k copies with the lowest ids first (more can never
 be among the k nearest), and equal probes are searched once.  A large cell is split into slices.
@@ -21,20 +22,36 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import ranking as K
+from .columns import attach
 
-SLICE_ROWS = 50_000
+SLICE_ROWS = 4_096
 
 
-def _pair_distance():
-    """Row-wise distance of two vector columns, one Arrow batch at a time."""
+def _block_search(need: int):
+    """The ``need`` nearest rows of every probe inside one (cell, slice, chunk) block.
 
-    def compute(a: pd.Series, b: pd.Series) -> pd.Series:
-        if not len(a):
-            return pd.Series([], dtype="float64")
-        gap = np.stack(a.to_numpy()) - np.stack(b.to_numpy())
-        return pd.Series(np.sqrt((gap * gap).sum(axis=1)))
+    Both sides of a block are bounded by ``SLICE_ROWS`` (they are cut by hash), and distances are
+    worked out for a few probes at a time.
+    """
 
-    return F.pandas_udf(compute, T.DoubleType())
+    def search(probes: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        empty = pd.DataFrame({"rep": [], "tid": [], "distance": []}).astype({"rep": "int64", "tid": "int64"})
+        if not len(probes) or not len(rows):
+            return empty
+        near = np.stack(rows["vec"].to_numpy())
+        tid, td = rows["tid"].to_numpy(), rows["td"].to_numpy()
+        out = []
+        for rep, vec, limit, pd_ in zip(probes["rep"], probes["pvec"], probes["bound"], probes["pd"]):
+            open_ = np.abs(td - pd_) <= limit  # triangle inequality
+            if not open_.any():
+                continue
+            gap = near[open_] - vec
+            d = np.sqrt((gap * gap).sum(axis=1))
+            order = np.lexsort((tid[open_], d.round(9)))[:need]
+            out.append(pd.DataFrame({"rep": rep, "tid": tid[open_][order], "distance": d[order]}))
+        return pd.concat(out) if out else empty
+
+    return search
 
 
 def _pivot_distances(pivots: list[list[float]]):
@@ -63,7 +80,7 @@ def knn_join(probes: DataFrame, train: DataFrame, probe_id: str, train_id: str,
     """
     need = k + 1 if exclude_self else k
     as_doubles = F.transform(F.col(vector), lambda x: x.cast("double"))
-    base = train.select(F.col(train_id).alias("tid"), as_doubles.alias("vec"), *carry)
+    base = train.select(F.col(train_id).alias("tid"), as_doubles.alias("vec"))
     copies = W.partitionBy("vec").orderBy("tid")
     base = base.withColumn("_c", F.row_number().over(copies)).filter(F.col("_c") <= need).drop("_c")
     to_pivots = _pivot_distances(_pivots(base, "tid", pivots))
@@ -96,14 +113,24 @@ def knn_join(probes: DataFrame, train: DataFrame, probe_id: str, train_id: str,
     # every cell's rows are spread over its slices; one row per pivot is broadcast
     sliced = placed.join(F.broadcast(cells.select("cell", "slices")), "cell")
     sliced = sliced.withColumn("slice", F.pmod(F.xxhash64("tid"), F.col("slices").cast("bigint")).cast("int")).drop("slices")
-    pairs = visits.join(sliced, ["cell", "slice"]).filter(F.abs(F.col("pd") - F.col("td")) <= F.col("bound"))
-    scored = pairs.select("rep", "tid", *carry, _pair_distance()("pvec", "vec").alias("distance"))
+    # probes are cut into chunks too; a slice goes to every chunk that may search it
+    chunks = same.agg(F.greatest(F.ceil(F.count("*") / SLICE_ROWS), F.lit(1)).cast("int").alias("n"))
+    visits = attach(visits, chunks, "_chunks").withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("_chunks.n").cast("bigint")).cast("int"))
+    sliced = attach(sliced.select("tid", "vec", "td", "cell", "slice"), chunks, "_chunks")
+    sliced = sliced.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks.n") - 1))).drop("_chunks")
+    block = ["cell", "slice", "chunk"]
+    scored = (
+        visits.drop("_chunks").groupBy(*block).cogroup(sliced.groupBy(*block))
+        .applyInPandas(_block_search(need), "rep bigint, tid bigint, distance double")
+    )
     rounded = F.round("distance", 9)
     best = K.top_k_per(scored, ["rep"], need, [rounded.asc(), F.col("tid").asc()], rank="rank").drop("rank")
     out = wanted.join(same, "vec").select("pid", "rep").join(best, "rep").drop("rep")
     if exclude_self:
         out = out.filter(F.col("pid") != F.col("tid"))
     out = K.top_k_per(out, ["pid"], k, [F.round("distance", 9).asc(), F.col("tid").asc()], rank="rank")
+    if carry:
+        out = out.join(train.select(F.col(train_id).alias("tid"), *carry), "tid").select("pid", "tid", "distance", "rank", *carry)
     return out.withColumnsRenamed({"pid": probe_id, "tid": f"near_{train_id}"})
 
 

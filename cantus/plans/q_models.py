@@ -101,9 +101,10 @@ def _training(spark, sf):
 
 @query("recommender_regressors")
 def recommender_regressors(spark, sf):
-    train, test = (K.sample_share(_training(spark, sf), ["row_key"], 0.2, "train"), K.sample_share(_training(spark, sf), ["row_key"], 0.05, "test"))
+    data = K.fold_column(_training(spark, sf), ["row_key"], 5).persist()
+    train, test = data.filter("fold > 0"), data.filter("fold = 0")
     out = None
-    for kind, params in {"random_forest": {"n_trees": 10, "max_depth": 8}, "gbt": {"max_iter": 5, "max_depth": 4}}.items():
+    for kind, params in {"random_forest": {"n_trees": 5, "max_depth": 6}, "gbt": {"max_iter": 3, "max_depth": 4}}.items():
         model = L.fit(L.regressor_pipeline(kind, list(L.MODEL_INPUTS), **params), train)
         one = E.regression_report(model.transform(test), "target_score", "prediction", (0.0, 1.0)).withColumn("model", F.lit(kind))
         out = one if out is None else out.unionByName(one)
@@ -112,8 +113,8 @@ def recommender_regressors(spark, sf):
 
 @query("recommender_search")
 def recommender_search(spark, sf):
-    data = K.sample_rows(_training(spark, sf), ["row_key"], 20_000)
-    found = L.search_regressors(data, ["row_key"], grids={"gbt": {"max_depth": [3, 4], "max_iter": [3]}}, k=3)
+    data = K.sample_rows(_training(spark, sf), ["row_key"], 200_000)  # the training cap
+    found = L.search_regressors(data, ["row_key"], grids={"random_forest": {"max_depth": [3, 5], "n_trees": [3]}}, k=3)
     out = None
     for kind, (_, results) in found.items():
         one = L.cv_table(spark, kind, results, "rmse")
@@ -123,7 +124,7 @@ def recommender_search(spark, sf):
 
 @query("recommend_with_model")
 def recommend_with_model(spark, sf):
-    train = K.sample_share(_training(spark, sf), ["row_key"], 0.2, "train")
+    train = _training(spark, sf)
     model = L.fit(L.regressor_pipeline("random_forest", list(L.MODEL_INPUTS), n_trees=10, max_depth=6), train)
     catalog = classified(spark, sf)
     out = R.recommend(catalog, REQUESTS, model=L.as_score_model(model))
