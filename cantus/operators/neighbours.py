@@ -106,7 +106,7 @@ def knn_join(probes: DataFrame, train: DataFrame, probe_id: str, train_id: str,
     bound = F.coalesce(F.get(uppers, F.lit(need - 1)), F.lit(float("inf"))) * (1 + 1e-9) + 1e-9
     distinct = distinct.withColumn("bound", bound)
     open_cells = F.filter("_cells", lambda c: at(c) - c["radius"] <= F.col("bound"))
-    visits = distinct.select("rep", "vec", "bound", "_d", F.explode(open_cells).alias("c")).select(
+    visits = distinct.select("rep", "vec", "bound", "_d", F.explode_outer(open_cells).alias("c")).filter("c IS NOT NULL").select(
         "rep", F.col("vec").alias("pvec"), "bound", F.get(F.col("_d"), F.col("c.cell")).alias("pd"), F.col("c.cell").alias("cell"),
         F.explode(F.sequence(F.lit(0), F.col("c.slices") - 1)).alias("slice"),
     )

@@ -49,7 +49,8 @@ def terms(df: DataFrame, key: str, text: str) -> DataFrame:
         F.transform(word_grams(F.col(text)), lambda t: F.struct(F.lit(0).alias("kind"), t.alias("term"))),
         F.transform(char_grams(F.col(text)), lambda t: F.struct(F.lit(1).alias("kind"), t.alias("term"))),
     )
-    return df.select(key, F.inline(both)).groupBy(key, "kind", "term").agg(F.count("*").cast("double").alias("tf"))
+    listed = df.select(key, F.inline_outer(both)).filter("term IS NOT NULL")
+    return listed.groupBy(key, "kind", "term").agg(F.count("*").cast("double").alias("tf"))
 
 
 def phrase_rows(spark, phrases: dict[str, tuple[str, ...]] = DEFAULT_PHRASES) -> DataFrame:

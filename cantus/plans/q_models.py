@@ -10,8 +10,7 @@ from ..operators import mood as M
 from ..operators import ranking as K
 from ..operators import recommend as R
 from . import standins as S
-from .q_mood import classified
-from .q_recommend import REQUESTS
+from .q_recommend import REQUESTS, stored_catalog
 from .registry import query
 
 FEATURES = ["energy", "valence", "danceability", "acousticness", "tempo"]
@@ -94,7 +93,7 @@ def model_mood_classification(spark, sf):
 
 def _training(spark, sf):
     """Weak supervision rows; absent model inputs are 0."""
-    catalog = classified(spark, sf)
+    catalog = stored_catalog(spark, sf)
     rows = R.weak_supervision(catalog, ["track_id"]).withColumn("spec_rate", F.lit(0.0))
     return rows.withColumn("row_key", F.concat_ws("|", "track_id", "user_mood", "activity"))
 
@@ -126,7 +125,7 @@ def recommender_search(spark, sf):
 def recommend_with_model(spark, sf):
     train = _training(spark, sf)
     model = L.fit(L.regressor_pipeline("random_forest", list(L.MODEL_INPUTS), n_trees=10, max_depth=6), train)
-    catalog = classified(spark, sf)
+    catalog = stored_catalog(spark, sf)
     out = R.recommend(catalog, REQUESTS, model=L.as_score_model(model))
     return out.select("request_id", "rank", "track_id", "predicted_mood", "recommendation_score")
 
