@@ -3,8 +3,8 @@
 Gray-order hierarchical index.  Equal fingerprints are one entry.  Two fingerprints within ``bits``
 differing bits agree on at least one of ``bits + 1`` blocks of bits, so entries are dealt by (block,
 value); a value held by too many entries is dealt once more by the blocks of the remaining bits.
-Inside a group entries are sorted by Gray rank, so that neighbours differ in few bits; every node of
-the index keeps the bits on which all entries below it agree and that no node above holds.  A query
+A task's group holds several values of a block.  Its entries, turned so that the block comes first,
+are sorted by Gray rank, so that neighbours differ in few bits; every node of the index keeps the bits on which all entries below it agree and that no node above holds.  A query
 adds up its differences from the root down and drops a node, with all entries below, once they
 exceed ``bits``.  A group emits a spanning forest of its links, never all pairs.
 """
@@ -159,20 +159,26 @@ def dealt(entries: DataFrame, bits: int, most: int) -> DataFrame:
     return plain.unionByName(again.select("bits", "rep", "k.block", "k.part", "k.sub"))
 
 
-def link_fingerprints(prints: DataFrame, bits: int = 3, most: int = 20_000) -> DataFrame:
+def link_fingerprints(prints: DataFrame, bits: int = 3, most: int = 20_000, group_rows: int = 500) -> DataFrame:
     """``node``, ``component_id`` over the smallest ids of distinct fingerprints that have a link."""
     entries = written(prints.groupBy("bits").agg(F.min("doc_id").alias("rep")).where("rep is not null"), "fingerprints")
 
+    owners = max(1, -(-entries.count() // group_rows))
+    turn = [(64 - max(b) - 1) % 64 for b in _blocks(list(range(64)), bits + 1)]
+
     def search(rows: pa.Table) -> pa.Table:
         values = rows["bits"].to_numpy().view(np.uint64)
-        order = np.argsort(gray_rank(values), kind="stable")
-        values, reps = values[order], rows["rep"].to_numpy()[order]
-        forest = Forest(len(values))
-        kept = [p for pairs in gray_links(values, bits) for p in forest.join(pairs)]
+        left = np.uint64(turn[rows["block"][0].as_py()])
+        turned = (values << left) | (values >> (np.uint64(64) - left)) if left else values.copy()
+        order = np.argsort(gray_rank(turned), kind="stable")
+        turned, reps = turned[order], rows["rep"].to_numpy()[order]
+        forest = Forest(len(turned))
+        kept = [p for pairs in gray_links(turned, bits) for p in forest.join(pairs)]
         at = np.array(kept, np.int64).reshape(-1, 2)
         return pa.table({"a": reps[at[:, 0]], "b": reps[at[:, 1]]})
 
-    groups = dealt(entries, bits, most).groupBy("block", "part", "sub")
+    owner = F.pmod(F.xxhash64("part"), F.lit(owners))
+    groups = dealt(entries, bits, most).select("bits", "rep", "block", "sub", owner.alias("owner")).groupBy("block", "sub", "owner")
     return components(groups.applyInArrow(search, "a long, b long"))
 
 
