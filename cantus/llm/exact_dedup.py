@@ -64,7 +64,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = written(read.select("doc_id", "h", F.unhex(F.sha2("norm", 256)).alias("sha")), "hashed")
     index = build_index(rows, bucket_slots, max_depth)
     chains = index.where("n > 1").select("h")
-    members = written(read.join(chains, "h", "left_semi"), "chain-members")
+    # one way at every size: the slots of chains grow with the corpus, so they are not broadcast
+    members = written(read.join(chains.hint("shuffle_merge"), "h", "left_semi"), "chain-members")
     groups = members.groupBy("h", "norm").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
     several = members.join(groups, ["h", "norm"]).select("doc_id", "keep_id", "group_size", F.sha2("norm", 256).alias("text_sha256"))
     single = rows.join(chains, "h", "left_anti").select(
