@@ -94,17 +94,17 @@ def embedding_groups(
 
     Rows link if their labels are equal and not null and their cosine is at least ``threshold``.
     Null, zero and non-finite vectors and null labels link with nothing; their component is their own
-    id.  Equal vectors of a label always link.  Vectors of different lengths never link.  Rows that
+    id.  Equal vectors of a label always link.  Vectors have one length; those shorter than the longest link only with equal ones.  Rows that
     repeat an id give a row each.  Extra columns are ignored; an empty table gives no rows.
     ``sample`` bounds the rows on which the codebooks are fitted (every row is indexed);
     ``cell_rows`` sets their size from the number of rows; ``slice_rows`` bounds the blocks compared.
     """
     spark = vectors.sparkSession
     held = written(entries(vectors, id_col, vec_col, label_col), "vectors")
-    count, labels = held.agg(F.count("*"), F.count_distinct("label")).first()
-    picked = held.select("rep", F.col("vector")).orderBy(F.xxhash64("rep"), "rep").limit(sample).collect()
-    size = max((len(r.vector) for r in picked), default=0)
-    points = np.array([r.vector for r in picked if len(r.vector) == size], float).reshape(-1, size)
+    count, labels, size = held.agg(F.count("*"), F.count_distinct("label"), F.coalesce(F.max(F.size("vector")), F.lit(0))).first()
+    fitted = held.where(F.size("vector") == size).select("rep", "vector")
+    picked = fitted.orderBy(F.xxhash64("rep"), "rep").limit(sample).collect()
+    points = np.array([r.vector for r in picked], float).reshape(len(picked), size)
     points /= np.maximum(np.abs(points).max(axis=1, keepdims=True), 1e-300)
     points /= np.linalg.norm(points, axis=1, keepdims=True)
     k = int(np.clip(np.ceil(np.sqrt(count / max(labels, 1) / cell_rows)), 1, max(len(points) // 8, 1)))
