@@ -99,12 +99,11 @@ def embedding_groups(
     ``sample`` bounds the rows on which the codebooks are fitted (every row is indexed);
     ``cell_rows`` sets their size from the number of rows; ``slice_rows`` bounds the blocks compared.
     """
-    spark = vectors.sparkSession
     held = written(entries(vectors, id_col, vec_col, label_col), "vectors")
     count, labels, size = held.agg(F.count("*"), F.count_distinct("label"), F.coalesce(F.max(F.size("vector")), F.lit(0))).first()
     fitted = held.where(F.size("vector") == size).select("rep", "vector")
     picked = fitted.orderBy(F.xxhash64("rep"), "rep").limit(sample).collect()
-    points = np.array([r.vector for r in picked], float).reshape(len(picked), size)
+    points = np.array([r.vector for r in picked], float).reshape(len(picked), max(size, 1))
     points /= np.maximum(np.abs(points).max(axis=1, keepdims=True), 1e-300)
     points /= np.linalg.norm(points, axis=1, keepdims=True)
     k = int(np.clip(np.ceil(np.sqrt(count / max(labels, 1) / cell_rows)), 1, max(len(points) // 8, 1)))

@@ -307,7 +307,7 @@ def test_quality_scores(spark, sf):
     assert got.score.between(0, 1).all() and len(got) == docs.count() + 3
     assert got[got.doc_id == -1].score.item() == got[got.doc_id == -2].score.item()
     seen = got.merge(labels.toPandas(), on="doc_id")
-    assert (seen.held_out == [zlib.crc32(str(d).encode()) % 3 == 1 for d in seen.doc_id]).all()
+    assert (seen.held_out == [zlib.crc32(str(int(d)).encode()) % 3 == 1 for d in seen.doc_id]).all()
     held = seen[seen.held_out]
     pos, neg = held[held.quality == 1].score.to_numpy(), held[held.quality == 0].score.to_numpy()
     assert (pos[:, None] > neg[None]).mean() > 0.95
