@@ -18,10 +18,10 @@ def squash(c: Column) -> Column:
 
     Most values hold no such run: a few byte searches spare them the regular expression.
     """
-    messy = F.contains(c, F.lit("  "))
+    messy = F.contains(c, F.lit("  ")) | (F.octet_length(c) != F.length(c))  # or blanks beyond ASCII
     for sign in ("\n", "\t", "\r", "\f", "\x0b"):
         messy = messy | F.contains(c, F.lit(sign))
-    return F.trim(F.when(messy, F.regexp_replace(c, r"\s+", " ")).otherwise(c))
+    return F.trim(F.when(messy, F.regexp_replace(c, r"(?U)\s+", " ")).otherwise(c))
 
 
 def fold_basic(c: Column) -> Column:

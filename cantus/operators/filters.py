@@ -57,6 +57,15 @@ def failed_rules(df: DataFrame, violations: str = "violations") -> DataFrame:
     return rules.groupBy("rule").agg(F.count("*").alias("rows"))
 
 
+def count_failed_rules(df: DataFrame, required: list[str] = ()) -> DataFrame:
+    """How many rows break each rule, in one aggregate of counts without a list per row."""
+    bad = {f"{c} falta o no es numerico": F.col(c).isNull() for c in required}
+    bad |= {message: ~F.coalesce(ok, F.lit(True)) for message, ok in range_rules(df.columns).items()}
+    counts = df.agg(*[F.count_if(b).alias(f"c{i}") for i, b in enumerate(bad.values())])
+    pairs = [F.struct(F.lit(m).alias("rule"), F.col(f"c{i}").alias("rows")) for i, m in enumerate(bad)]
+    return counts.select(F.inline(F.array(*pairs))).filter("rows > 0")
+
+
 def raise_on_violations(df: DataFrame, violations: str = "violations") -> DataFrame:
     """Strict mode: the job fails on the first bad row it meets."""
     return df.withColumn(

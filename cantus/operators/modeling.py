@@ -77,8 +77,10 @@ def classifier_pipeline(kind: str, features: list[str], label: str, weight: str
         )
     else:
         depth = params.get("max_depth")
+        if depth is not None and depth > 30:
+            raise ValueError("trees are at most 30 deep")
         model = RandomForestClassifier(
-            labelCol=label, numTrees=params.get("n_trees", 200), maxDepth=30 if depth is None else min(depth, 30),
+            labelCol=label, numTrees=params.get("n_trees", 200), maxDepth=30 if depth is None else depth,
             minInstancesPerNode=params.get("min_leaf", 1), seed=SEED, **weigh,
         )
     return Pipeline(stages=[*_inputs(features), model])
@@ -140,7 +142,7 @@ def fit(pipeline: Pipeline, df: DataFrame) -> PipelineModel:
 def search_classifiers(df: DataFrame, features: list[str], label: str, classes: list, key: list[str], grids: dict = CLASSIFIER_GRID, k: int = 3):
     """Stratified k-fold macro-F1 search over all classifier kinds: {kind: (model, results)}."""
     folds = K.fold_column(balanced_weights(df, label, classes), key, k, label, classes).persist()
-    total = float(folds.count())  # balanced weights sum to the number of rows
+    total = float(folds.count()) * (k - 1) / k  # balanced weights sum to the rows, of which a fit sees k - 1 folds
     evaluator = MacroF1(labelCol=label, labels=classes)
     make = lambda kind: lambda **p: classifier_pipeline(kind, features, label, total_weight=total, **p)
     try:

@@ -188,9 +188,21 @@ def running_total(df: DataFrame, group: list[str], order: str, value: Column, sp
     )
 
 
-def positions(df: DataFrame, order: str, to: str = "sample_index") -> DataFrame:
-    """0-based position by a unique numeric column, without one global window."""
-    return running_total(df, [], order, F.lit(1), to=to).withColumn(to, F.col(to) - 1)
+def positions(df: DataFrame, order: str, to: str = "sample_index", tie: list[str] = ()) -> DataFrame:
+    """0-based position by a numeric column, one number per row, without one global window.
+
+    Equal values are told apart by the hash of ``tie`` (default: all columns).  They are numbered
+    inside their hash prefixes, of which a value has at most 256, so a frequent value is not one task.
+    """
+    marked = df.withColumn("_h", row_hash(list(tie) or df.columns)).withColumn("_p", F.substring("_h", 1, 2))
+    cells = marked.groupBy(F.col(order).alias("_v"), F.col("_p").alias("_q")).agg(F.count("*").alias("_n"))
+    values = cells.groupBy("_v").agg(F.sum("_n").alias("_all"))
+    upto = running_total(values, [], "_v", F.col("_all"), to="_upto").select(F.col("_v").alias("_w"), (F.col("_upto") - F.col("_all")).alias("_before"))
+    earlier = F.sum("_n").over(W.partitionBy("_v").orderBy("_q")) - F.col("_n")
+    starts = cells.withColumn("_inside", earlier).join(upto, F.col("_v").eqNullSafe(F.col("_w"))).select("_v", "_q", (F.col("_before") + F.col("_inside")).alias("_start"))
+    own = F.row_number().over(W.partitionBy(order, "_p").orderBy("_h"))
+    numbered = marked.withColumn("_rn", own).join(starts, F.col(order).eqNullSafe(F.col("_v")) & (F.col("_p") == F.col("_q")))
+    return numbered.withColumn(to, F.col("_start") + F.col("_rn") - 1).select(*df.columns, to)
 
 
 def shuffled(df: DataFrame, key: list[str], k: int, seed: int) -> DataFrame:

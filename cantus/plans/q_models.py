@@ -39,7 +39,8 @@ def deduplicated_split(spark, sf):
 def _fit(spark, sf, kind, **params):
     data = K.stratified_split(labelled(spark, sf), "label", CLASSES, ["row_id"])
     train = L.balanced_weights(data.filter("is_train"), "label", CLASSES)
-    return L.fit(L.classifier_pipeline(kind, FEATURES, "label", total_weight=1000.0, **params), train), data.filter("not is_train")
+    total = train.agg(F.sum("weight")).first()[0]
+    return L.fit(L.classifier_pipeline(kind, FEATURES, "label", total_weight=total, **params), train), data.filter("not is_train")
 
 
 @query("logistic_regression_scores")
@@ -112,8 +113,7 @@ def recommender_regressors(spark, sf):
 
 @query("recommender_search")
 def recommender_search(spark, sf):
-    data = K.sample_rows(_training(spark, sf), ["row_key"], 200_000)  # the training cap
-    found = L.search_regressors(data, ["row_key"], grids={"random_forest": {"max_depth": [3, 5], "n_trees": [3]}}, k=3)
+    found = L.search_regressors(_training(spark, sf), ["row_key"], grids={"random_forest": {"max_depth": [3, 5], "n_trees": [3]}}, k=3)
     out = None
     for kind, (_, results) in found.items():
         one = L.cv_table(spark, kind, results, "rmse")

@@ -19,15 +19,13 @@ from .registry import load, query, rnd, rounded
 
 @query(
     "text_functions",
-    r"""SELECT doc_id, md5(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS squashed, CAST(len(string_split_regex(trim(text), '\s+')) AS BIGINT) AS words_plain,
-      length(text) AS chars, md5(trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(lower(text), 'á', 'a'), 'é', 'e'), 'í', 'i'), 'ó', 'o'), 'ú', 'u'), 'ü', 'u'), 'ñ', 'n'), '\s+', ' ', 'g'))) AS folded
-    FROM documents WHERE regexp_matches(text, '^[\x20-\x7eáéíóúüñàèìòùâêîôûäëïöçßÁÉÍÓÚÜÑÀÈÌÒÙÂÊÎÔÛÄËÏÖÇ\n\t]*$')""",
+    r"""SELECT doc_id, md5(trim(regexp_replace(text, '[\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', ' ', 'g'))) AS squashed, CAST(len(string_split_regex(trim(text), '\s+')) AS BIGINT) AS words_plain,
+      length(text) AS chars, md5(trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(lower(text), 'á', 'a'), 'é', 'e'), 'í', 'i'), 'ó', 'o'), 'ú', 'u'), 'ü', 'u'), 'ñ', 'n'), '[\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', ' ', 'g'))) AS folded
+    FROM documents""",
 )
 def text_functions(spark, sf):
-    # other signs (no-break blanks and the like) count as whitespace in one engine only
-    plain = r"^[\x20-\x7eáéíóúüñàèìòùâêîôûäëïöçßÁÉÍÓÚÜÑÀÈÌÒÙÂÊÎÔÛÄËÏÖÇ\n\t]*$"
     t = F.col("text")
-    return load(spark, sf, "documents").filter(t.rlike(plain)).select(
+    return load(spark, sf, "documents").select(
         "doc_id", F.md5(X.squash(t)).alias("squashed"), X.word_count(t, True).cast("bigint").alias("words_plain"),
         F.length(t).cast("bigint").alias("chars"), F.md5(X.fold_basic(t)).alias("folded"),
     )
@@ -35,10 +33,10 @@ def text_functions(spark, sf):
 
 @query(
     "artist_folding",
-    "SELECT doc_id, md5(regexp_replace(strip_accents(lower(trim(text))), '[^a-z0-9]+', '', 'g')) AS name FROM documents WHERE lang <> 'de'",
+    "SELECT doc_id, md5(regexp_replace(strip_accents(replace(lower(trim(text)), 'ß', '')), '[^a-z0-9]+', '', 'g')) AS name FROM documents",
 )
 def artist_folding(spark, sf):
-    return load(spark, sf, "documents").filter("lang <> 'de'").select("doc_id", F.md5(X.fold_name(F.col("text"))).alias("name"))
+    return load(spark, sf, "documents").select("doc_id", F.md5(X.fold_name(F.col("text"))).alias("name"))
 
 
 @query("artist_folding_full")

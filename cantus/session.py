@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -40,11 +41,14 @@ _fallback: str | None = None
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the cluster's shared ``spark.checkpoint.dir``.
 
-    Only when the session names none (single-machine tests) a temporary folder is used.
+    Only a single-machine session (master ``local``) that names none gets a temporary folder; on a
+    cluster executors would each write to their own disk, so there the setting is required.
     """
     global _fallback
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local(\[[^,]*(,\s*\d+)?\])?$", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         _fallback = _fallback or tempfile.mkdtemp(prefix="cantus-")
         base = _fallback
     return f"{base.rstrip('/')}/cantus/{purpose}-{uuid.uuid4().hex[:12]}"

@@ -54,9 +54,13 @@ def envelope(df: DataFrame, dataset: str, key: str) -> DataFrame:
 
 
 def open_envelope(events: DataFrame, payload: T.StructType, dataset: str | None = None, value: Column | None = None) -> DataFrame:
-    """The payload columns of events (of one dataset); events that do not parse are dropped."""
+    """The payload columns of events (of one dataset); events that do not parse are dropped.
+
+    The generate step keeps the optimiser from working out the parsed struct again in every filter.
+    """
     schema = T.StructType([T.StructField("dataset", T.StringType()), T.StructField("payload", payload)])
-    parsed = events.select(F.from_json((value if value is not None else F.col("value")).cast("string"), schema).alias("e"))
+    parsed = F.from_json((value if value is not None else F.col("value")).cast("string"), schema)
+    parsed = events.select(F.explode_outer(F.array(parsed)).alias("e"))
     kept = parsed.filter(F.col("e.payload").isNotNull())
     if dataset:
         kept = kept.filter(F.col("e.dataset") == dataset)

@@ -3,6 +3,7 @@ by itself, resumes where it stopped, and its file sinks are exactly-once."""
 
 from __future__ import annotations
 
+import hashlib
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -76,15 +77,17 @@ def classify_online(stream: DataFrame, classify: Callable[[DataFrame], DataFrame
                     timeout: int | None = None) -> None:
     """Classify each micro-batch and append it to the catalog delta and to the history.
 
-    A batch writes into its own ``batch=<id>`` folder by overwrite, so a batch that is run again
-    after a lost executor or driver replaces its first attempt instead of adding to it.
+    A batch writes into its own ``run=<id>/batch=<id>`` folder by overwrite, so a batch that is run
+    again after a lost executor or driver replaces its first attempt instead of adding to it.  The
+    run id belongs to the checkpoint: a resumed job goes on, a new one leaves earlier history alone.
     """
+    job = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         out = classify(batch).persist()
         try:
             for target in (catalog, history):
-                out.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+                out.write.mode("overwrite").parquet(f"{target}/run={job}/batch={batch_id}")
         finally:
             out.unpersist()
 
