@@ -102,7 +102,7 @@ def substring_dedup(
     group: int = 8,
     id_col: str = "doc_id",
     text_col: str = "text",
-    batch_bytes: int = 6 << 20,
+    batch_bytes: int = 4 << 20,
     bytes_per_owner: int = 16 << 20,
     many: int = 20_000,
 ) -> DataFrame:
