@@ -49,6 +49,17 @@ def slices(batches, column: str = "text", size: int = 2 << 20):
         yield batch.slice(start)
 
 
+def hash_sample(df: DataFrame, id_col: str, total: int, most: int) -> DataFrame:
+    """At most ``most`` of ``total`` rows, by the hash of their id.
+
+    A share of the hashes is taken first, so that tasks together send little more than ``most`` rows.
+    """
+    parts = 1_000_000
+    share = min(parts, -(-12 * parts * most // (10 * max(total, 1))))
+    picked = df.where(F.pmod(F.xxhash64(id_col, F.lit(9)), F.lit(parts)) < share)
+    return picked.orderBy(F.xxhash64(id_col), id_col).limit(most)
+
+
 def crc_class(id_col: str, parts: int):
     """``crc32`` of the decimal id, modulo ``parts``; a null id counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(parts))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import hash_sample, written
 from .components import components
 from .simhash import Forest
 
@@ -102,7 +102,7 @@ def embedding_groups(
     held = written(entries(vectors, id_col, vec_col, label_col), "vectors")
     count, labels, size = held.agg(F.count("*"), F.count_distinct("label"), F.coalesce(F.max(F.size("vector")), F.lit(0))).first()
     fitted = held.where(F.size("vector") == size).select("rep", "vector")
-    picked = fitted.orderBy(F.xxhash64("rep"), "rep").limit(sample).collect()
+    picked = hash_sample(fitted, "rep", count, sample).collect()
     points = np.array([r.vector for r in picked], float).reshape(len(picked), max(size, 1))
     points /= np.maximum(np.abs(points).max(axis=1, keepdims=True), 1e-300)
     points /= np.linalg.norm(points, axis=1, keepdims=True)

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_class, id_and_text, slices, written
+from .common import crc_class, hash_sample, id_and_text, slices, written
 
 _CLASSES = (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b".,;:?'\"-()", b"!", b"|", b"#$%&*+/<=>@[\\]^_`{}~")
 _TABLE = np.full(256, len(_CLASSES), np.uint8)
@@ -177,7 +177,7 @@ def train(
     ones, n = known.agg(F.coalesce(F.sum(F.col("high")), F.lit(0)), F.count("*")).first()
     prior = float(np.clip(ones / n, 0.01, 0.99)) if n else 0.5
     trusted = table.join(known.where("high = 1").select("doc_id"), "doc_id", "left_semi")
-    rows = trusted.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_positives).toArrow()
+    rows = hash_sample(trusted, "doc_id", ones, max_positives).toArrow()
     positives = _matrix(rows) if rows.num_rows else np.empty((0, N_FEATURES))
     return fit(table, positives, prior)
 
