@@ -36,7 +36,7 @@ def zipf_scores(model_file: str) -> dict[str, float]:
 class Trie:
     """Forward scores by prefix; a character without a piece costs one token per UTF-8 byte."""
 
-    def __init__(self, scores: dict[str, float], most_nodes: int = 500_000):
+    def __init__(self, scores: dict[str, float], most_nodes: int = 1_000_000):
         self.scores, self.most = scores, most_nodes
         self.longest = max(map(len, scores), default=1)
         self.byte = min(scores.values(), default=0.0) - 5.0
