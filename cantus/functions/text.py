@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import sys
 import unicodedata
 from functools import lru_cache
 
@@ -29,27 +28,48 @@ def fold_basic(c: Column) -> Column:
     return squash(F.translate(F.lower(c), "áéíóúüñ", "aeiouun"))
 
 
+_LAST_SIGN = 0x1FFFF  # beyond it no compatibility form holds a Latin letter or a digit
+
+
 @lru_cache(maxsize=1)
-def _fold_table() -> tuple[str, str]:
-    """Every lower-case character whose compatibility form is exactly one of [a-z0-9]."""
-    source, target = [], []
-    for code in range(0x80, min(sys.maxunicode, 0xFFFF) + 1):
+def _fold_tables() -> tuple[str, str, dict[str, str]]:
+    """Characters whose compatibility form is exactly one of [a-z0-9], and those with a longer form.
+
+    A sign whose form holds capitals (such as the numero sign) is dropped whole.
+    """
+    source, target, wide = [], [], {}
+    for code in range(0x80, _LAST_SIGN + 1):
         ch = chr(code)
         plain = "".join(x for x in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(x))
-        if len(plain) == 1 and re.match(r"[a-z0-9]", plain):
+        if re.search("[A-Z]", plain):
+            continue
+        kept = re.sub(r"[^a-z0-9]", "", plain)
+        if len(plain) == 1 and kept:
             source.append(ch)
             target.append(plain)
-    return "".join(source), "".join(target)
+        elif kept:
+            wide[ch] = kept
+    return "".join(source), "".join(target), wide
+
+
+def _fold_table() -> tuple[str, str]:
+    return _fold_tables()[:2]
 
 
 def fold_name(c: Column) -> Column:
     """Accent-free lower-case letters and digits only, for comparing artist names.
 
-    One ``translate`` (a constant table) and one ``regexp_replace``: stays in the JVM.  Single
-    signs that stand for several letters (such as a ligature) need :func:`fold_name_udf`.
+    One ``translate`` (a constant table) and one ``regexp_replace``; signs that stand for several
+    letters, such as ligatures, are spelled out in the few values that hold any.  Stays in the JVM.
     """
-    source, target = _fold_table()
-    return F.regexp_replace(F.translate(F.lower(F.trim(c)), source, target), "[^a-z0-9]+", "")
+    source, target, wide = _fold_tables()
+    plain = F.translate(F.lower(F.trim(c)), source, target)
+    forms = F.str_to_map(F.lit(",".join(f"{k}:{v}" for k, v in wide.items())), F.lit(","), F.lit(":"))
+    spelled = lambda p: F.array_join(F.transform(F.split(p, ""), lambda x: F.coalesce(F.try_element_at(forms, x), x)), "")
+    odd = lambda p: (F.octet_length(p) != F.length(p)) & p.rlike("[" + "".join(wide) + "]")
+    # bound once by the lambda: the folded value is used several times
+    full = F.get(F.transform(F.array(plain), lambda p: F.when(odd(p), spelled(p)).otherwise(p)), F.lit(0))
+    return F.regexp_replace(full, "[^a-z0-9]+", "")
 
 
 def fold_name_udf():
@@ -64,8 +84,8 @@ def fold_name_udf():
 
 def fold_name_literal(value: str) -> str:
     """The same folding for a constant search word on the driver."""
-    plain = unicodedata.normalize("NFKD", value.strip().lower())
-    return re.sub(r"[^a-z0-9]+", "", plain)
+    forms = [unicodedata.normalize("NFKD", ch) for ch in value.strip().lower()]
+    return re.sub(r"[^a-z0-9]+", "", "".join(f for f in forms if not re.search("[A-Z]", f)))
 
 
 def split_clean(c: Column, pattern: str) -> Column:

@@ -83,10 +83,10 @@ def by_genre(df: DataFrame, genre: str | None, column: str = "track_genre") -> D
     return df.filter(F.lower(F.col(column)) == wanted)
 
 
-def artist_condition(artists: Column, queries: list[str], whole_value: bool = False, fold=X.fold_name) -> Column:
-    """Any query is contained in any artist of a multi-artist value.
+def artist_condition(artists: Column, queries: list[str], whole_value: bool = True, fold=X.fold_name) -> Column:
+    """Any query is contained in any artist of a multi-artist value, or in the unsplit value.
 
-    ``whole_value`` also searches the unsplit value, where a match may span two artists.
+    A match in the unsplit value may span a separator; without ``whole_value`` it does not count.
     """
     names = F.transform(F.split(artists, "[;,/&]+"), lambda x: fold(x))
     if whole_value:
@@ -102,7 +102,7 @@ def artist_queries(query: str | None) -> list[str]:
     return [q for part in re.split(r"[,;/]+", query or "") if (q := X.fold_name_literal(part))]
 
 
-def by_artist(df: DataFrame, query: str | None, column: str = "artists", whole_value: bool = False) -> DataFrame:
+def by_artist(df: DataFrame, query: str | None, column: str = "artists", whole_value: bool = True) -> DataFrame:
     queries = artist_queries(query)
     if not queries or column not in df.columns:
         return df

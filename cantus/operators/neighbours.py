@@ -22,16 +22,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import ranking as K
-from .columns import attach
 
 SLICE_ROWS = 4_096
+PROBES = 256
 
 
 def _block_search(need: int):
     """The ``need`` nearest rows of every probe inside one (cell, slice, chunk) block.
 
-    Both sides of a block are bounded by ``SLICE_ROWS`` (they are cut by hash), and distances are
-    worked out for a few probes at a time.
+    Both sides of a block are bounded by about ``SLICE_ROWS`` (they are cut by hash); a matrix
+    product per ``PROBES`` probes picks the rows whose distances are worked out exactly.
     """
 
     def search(probes: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
@@ -39,16 +39,23 @@ def _block_search(need: int):
         if not len(probes) or not len(rows):
             return empty
         near = np.stack(rows["vec"].to_numpy())
-        tid, td = rows["tid"].to_numpy(), rows["td"].to_numpy()
+        tid, td, square = rows["tid"].to_numpy(), rows["td"].to_numpy(), (near * near).sum(axis=1)
+        rep, own, bound, own_d = probes["rep"].to_numpy(), np.stack(probes["pvec"].to_numpy()), probes["bound"].to_numpy(), probes["pd"].to_numpy()
         out = []
-        for rep, vec, limit, pd_ in zip(probes["rep"], probes["pvec"], probes["bound"], probes["pd"]):
-            open_ = np.abs(td - pd_) <= limit  # triangle inequality
-            if not open_.any():
-                continue
-            gap = near[open_] - vec
-            d = np.sqrt((gap * gap).sum(axis=1))
-            order = np.lexsort((tid[open_], d.round(9)))[:need]
-            out.append(pd.DataFrame({"rep": rep, "tid": tid[open_][order], "distance": d[order]}))
+        for s in range(0, len(rep), PROBES):
+            v = own[s : s + PROBES]
+            size = (v * v).sum(axis=1)[:, None] + square
+            rough = size - 2 * v @ near.T
+            rough[np.abs(td - own_d[s : s + PROBES, None]) > bound[s : s + PROBES, None]] = np.inf  # triangle inequality
+            last = np.partition(rough, min(need, len(tid)) - 1, axis=1)[:, min(need, len(tid)) - 1]
+            # the product rounds; whatever may be among the nearest is worked out exactly
+            i, j = np.nonzero((rough <= last[:, None] + 1e-9 * (1 + size)) & np.isfinite(rough))
+            d = np.sqrt(((near[j] - v[i]) ** 2).sum(axis=1))
+            order = np.lexsort((tid[j], d.round(9), i))
+            i, j, d = i[order], j[order], d[order]
+            place = np.arange(len(i)) - np.searchsorted(i, i)
+            kept = place < need
+            out.append(pd.DataFrame({"rep": rep[s + i[kept]], "tid": tid[j[kept]], "distance": d[kept]}))
         return pd.concat(out) if out else empty
 
     return search
@@ -107,20 +114,19 @@ def knn_join(probes: DataFrame, train: DataFrame, probe_id: str, train_id: str,
     distinct = distinct.withColumn("bound", bound)
     open_cells = F.filter("_cells", lambda c: at(c) - c["radius"] <= F.col("bound"))
     visits = distinct.select("rep", "vec", "bound", "_d", F.explode_outer(open_cells).alias("c")).filter("c IS NOT NULL").select(
-        "rep", F.col("vec").alias("pvec"), "bound", F.get(F.col("_d"), F.col("c.cell")).alias("pd"), F.col("c.cell").alias("cell"),
-        F.explode(F.sequence(F.lit(0), F.col("c.slices") - 1)).alias("slice"),
+        "rep", F.col("vec").alias("pvec"), "bound", F.get(F.col("_d"), F.col("c.cell")).alias("pd"), F.col("c.cell").alias("cell"), F.col("c.slices").alias("slices"),
     )
-    # every cell's rows are spread over its slices; one row per pivot is broadcast
-    sliced = placed.join(F.broadcast(cells.select("cell", "slices")), "cell")
-    sliced = sliced.withColumn("slice", F.pmod(F.xxhash64("tid"), F.col("slices").cast("bigint")).cast("int")).drop("slices")
-    # probes are cut into chunks too; a slice goes to every chunk that may search it
-    chunks = same.agg(F.greatest(F.ceil(F.count("*") / SLICE_ROWS), F.lit(1)).cast("int").alias("n"))
-    visits = attach(visits, chunks, "_chunks").withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("_chunks.n").cast("bigint")).cast("int"))
-    sliced = attach(sliced.select("tid", "vec", "td", "cell", "slice"), chunks, "_chunks")
-    sliced = sliced.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks.n") - 1))).drop("_chunks")
+    # the visitors of a cell are cut into chunks; its slices go to those chunks only.  The two tables
+    # broadcast have one row per pivot
+    chunks = visits.groupBy("cell").agg(F.ceil(F.count("*") / SLICE_ROWS).alias("chunks"))
+    visits = visits.join(F.broadcast(chunks), "cell").withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
+    visits = visits.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("slices", "chunks")
+    sliced = placed.join(F.broadcast(cells.select("cell", "slices")), "cell").join(F.broadcast(chunks), "cell")
+    sliced = sliced.withColumn("slice", F.pmod(F.xxhash64("tid"), F.col("slices").cast("bigint")).cast("int"))
+    sliced = sliced.select("tid", "vec", "td", "cell", "slice", F.explode(F.sequence(F.lit(0), F.col("chunks").cast("int") - 1)).alias("chunk"))
     block = ["cell", "slice", "chunk"]
     scored = (
-        visits.drop("_chunks").groupBy(*block).cogroup(sliced.groupBy(*block))
+        visits.groupBy(*block).cogroup(sliced.groupBy(*block))
         .applyInPandas(_block_search(need), "rep bigint, tid bigint, distance double")
     )
     rounded = F.round("distance", 9)

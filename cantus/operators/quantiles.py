@@ -43,21 +43,23 @@ def exact(df: DataFrame, features: list[str], probs: list[float], accuracy: int
     sketch = df.agg(*[F.expr(summary.format(x=f"CAST(`{f}` AS DOUBLE)", f=f)) for f in features])
     # few rows: the whole range is the bracket
     end = lambda f, whole, part, i: f"IF(`{f}`.n < {2 * accuracy}, `{f}`.{whole}, `{f}`.{part}[{i}])"
-    cells = [
-        f"named_struct('feature', {sql(f)}, 'prob', {float(p)!r}D, 'n', `{f}`.n, 'lo', {end(f, 'lo', 'lows', i)}, 'hi', {end(f, 'hi', 'highs', i)})"
+    per_feature = [
+        f"named_struct('feature', {sql(f)}, 'n', `{f}`.n, 'cells', array("
+        + ", ".join(f"named_struct('prob', {float(p)!r}D, 'lo', {end(f, 'lo', 'lows', i)}, 'hi', {end(f, 'hi', 'highs', i)})" for i, p in enumerate(probs))
+        + "))"
         for f in features
-        for i, p in enumerate(probs)
     ]
-    brackets = sketch.select(F.expr(f"inline(array({', '.join(cells)}))"))
-    values = tall(df, features)
-    # features x probs rows: a constant-size table
-    near = values.join(F.broadcast(brackets), "feature")
-    # below the bracket only a count is kept (value NULL); inside, one row per distinct value
-    counted = (
-        near.filter(F.col("x") <= F.col("hi"))
-        .groupBy("feature", "prob", "n", F.when(F.col("x") >= F.col("lo"), F.col("x")).alias("v"))
-        .agg(F.count("*").alias("c"))
-    )
+    brackets = sketch.select(F.expr(f"inline(array({', '.join(per_feature)}))"))
+    # one row per feature: a constant-size table
+    near = tall(df, features).join(F.broadcast(brackets), "feature")
+    # below a bracket values are only counted (value NULL); those inside are the few that go on
+    below = near.groupBy("feature", "n").agg(*[F.count_if(F.col("x") < F.col("cells")[i]["lo"]).alias(f"c{i}") for i in range(len(probs))])
+    below = below.select("feature", "n", F.inline(F.array(*[F.struct(F.lit(float(p)).alias("prob"), F.lit(None).cast("double").alias("v"), F.col(f"c{i}").alias("c")) for i, p in enumerate(probs)])))
+    # explode_outer: a plain explode would work out the filter again in a size test
+    hits = F.filter("cells", lambda b: (F.col("x") >= b["lo"]) & (F.col("x") <= b["hi"]))
+    inside = near.select("feature", "n", "x", F.explode_outer(hits).alias("b")).filter("b IS NOT NULL")
+    inside = inside.groupBy("feature", "n", F.col("b.prob").alias("prob"), F.col("x").alias("v")).agg(F.count("*").alias("c"))
+    counted = below.unionByName(inside)
     order = W.partitionBy("feature", "prob").orderBy(F.col("v").asc_nulls_first())
     ranked = counted.withColumn("upto", F.sum("c").over(order.rowsBetween(W.unboundedPreceding, 0)))
     pos = F.col("prob") * (F.col("n") - 1)

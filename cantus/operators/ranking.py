@@ -140,9 +140,19 @@ def fold_column(df: DataFrame, key: list[str], k: int, label: str | None = None,
 
 
 def sample_rows(df: DataFrame, key: list[str], n: int, salt: str = "42") -> DataFrame:
-    """Exactly n rows (all, when there are fewer) in hash order: reproducible, no global sort."""
+    """Exactly n rows (all, when there are fewer) in hash order: reproducible, no global sort.
+
+    Of rows that share the key at the cut, those with the smallest row hash are taken.
+    """
     cuts = hash_cuts(df, key, [1.0], rows=n, salt=salt)
-    return _with_cuts(df, cuts, None, None, 1).filter(row_hash(key, salt) <= F.get("_cuts", F.lit(0))).drop("_cuts")
+    marked = _with_cuts(df, cuts, None, None, 1).withColumn("_h", row_hash(key, salt))
+    last = F.get("_cuts", F.lit(0))
+    below, edge = marked.filter(F.col("_h") < last), marked.filter(F.col("_h") == last)
+    edge = edge.withColumn("_own", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    edge = top_k_per(edge, ["_h"], n, [F.col("_own").asc()], rank="_rn")  # a constant prunes each task first
+    taken = below.agg(F.count("*")).scalar()
+    edge = edge.filter(F.col("_rn") <= F.lit(n) - taken)
+    return below.select(*df.columns).unionByName(edge.select(*df.columns))
 
 
 def sample_share(df: DataFrame, key: list[str], share: float, salt: str = "") -> DataFrame:

@@ -29,7 +29,7 @@ _META = "SELECT l_partkey AS part_id, min(l_returnflag) AS track_genre, CAST(max
     "assemble_catalog",
     f"""WITH t AS (SELECT concat('P', CAST(p_partkey AS VARCHAR)) AS track_id, CAST(p_size AS DOUBLE) AS energy FROM part WHERE p_partkey % 2 = 0),
       m AS (SELECT concat('P', CAST(part_id AS VARCHAR)) AS track_id, track_genre, popularity FROM ({_META}) x),
-      l AS (SELECT concat('P', CAST(p_partkey AS VARCHAR)) AS track_id, p_retailprice AS energy, CASE WHEN p_type = 'ECONOMY' THEN 'lyrics_dataset' WHEN p_type = 'PROMO' THEN NULL ELSE p_type END AS track_genre, p_name AS lyric FROM part WHERE p_partkey % 3 = 0)
+      l AS (SELECT concat('P', CAST(p_partkey AS VARCHAR)) AS track_id, p_retailprice AS energy, CASE WHEN p_type = 'ECONOMY' THEN 'lyrics_dataset' WHEN p_type = 'PROMO' THEN NULL ELSE p_type END AS track_genre, p_name AS lyric FROM part WHERE p_partkey % 2 = 1 OR p_partkey % 3 = 0)
     SELECT t.track_id, energy, track_genre, popularity, CAST(NULL AS BOOLEAN) AS explicit, CAST(NULL AS VARCHAR) AS lyric FROM t LEFT JOIN m USING (track_id)
     UNION ALL SELECT track_id, energy, CASE WHEN track_genre = 'lyrics_dataset' OR track_genre IS NULL THEN 'spotify_unknown' ELSE track_genre END, 0, false, lyric FROM l WHERE track_id NOT IN (SELECT track_id FROM t)""",
 )
@@ -39,7 +39,7 @@ def assemble_catalog(spark, sf):
     t = p.filter("p_partkey % 2 = 0").selectExpr(tid.format("p_partkey"), "CAST(p_size AS DOUBLE) AS energy")
     m = load(spark, sf, "lineitem").filter("l_partkey % 5 > 0").groupBy("l_partkey").agg(F.min("l_returnflag").alias("track_genre"), F.max("l_linenumber").alias("popularity"))
     m = m.selectExpr(tid.format("l_partkey"), "track_genre", "popularity")
-    lyr = p.filter("p_partkey % 3 = 0").selectExpr(
+    lyr = p.filter("p_partkey % 2 = 1 OR p_partkey % 3 = 0").selectExpr(
         tid.format("p_partkey"), "p_retailprice AS energy",
         "CASE WHEN p_type = 'ECONOMY' THEN 'lyrics_dataset' WHEN p_type = 'PROMO' THEN NULL ELSE p_type END AS track_genre", "p_name AS lyric",
     )
@@ -50,11 +50,15 @@ def assemble_catalog(spark, sf):
     "hot_catalog",
     """SELECT track_id, mood, version FROM (SELECT *, row_number() OVER (PARTITION BY track_id ORDER BY src DESC, version DESC) AS rn FROM (
       SELECT p_partkey AS track_id, p_type AS mood, CAST(0 AS BIGINT) AS version, 0 AS src FROM part
-      UNION ALL SELECT l_partkey, l_returnflag, l_orderkey * 10 + l_linenumber, 1 FROM lineitem WHERE l_quantity > 45) u) t WHERE rn = 1""",
+      UNION ALL SELECT l_partkey, l_returnflag, l_orderkey * 10 + l_linenumber, CASE WHEN l_quantity > 45 THEN 1 ELSE 0 END FROM lineitem) u) t WHERE rn = 1""",
 )
 def hot_catalog(spark, sf):
-    base = load(spark, sf, "part").selectExpr("p_partkey AS track_id", "p_type AS mood", "CAST(0 AS BIGINT) AS version")
-    delta = load(spark, sf, "lineitem").filter("l_quantity > 45").selectExpr("l_partkey AS track_id", "l_returnflag AS mood", "l_orderkey * 10 + l_linenumber AS version")
+    """Parts and small line items play the catalog, large line items the delta that wins."""
+    parts = load(spark, sf, "part").selectExpr("p_partkey AS track_id", "p_type AS mood", "CAST(0 AS BIGINT) AS version")
+    items = load(spark, sf, "lineitem")
+    rows = ["l_partkey AS track_id", "l_returnflag AS mood", "l_orderkey * 10 + l_linenumber AS version"]
+    base = parts.unionByName(items.filter("l_quantity <= 45").selectExpr(*rows))
+    delta = items.filter("l_quantity > 45").selectExpr(*rows)
     return J.hot_catalog(base, delta, [F.col("version").desc()]).select("track_id", "mood", "version")
 
 
@@ -62,12 +66,12 @@ def hot_catalog(spark, sf):
     "metadata_conflicts",
     """SELECT count(*) FILTER (a.status <> b.status) AS status, count(*) FILTER (a.prio <> b.prio) AS prio FROM
       (SELECT o_orderkey, o_orderstatus AS status, o_orderpriority AS prio FROM orders) a JOIN
-      (SELECT o_orderkey, CASE WHEN o_custkey % 4 = 0 THEN 'X' ELSE o_orderstatus END AS status, CASE WHEN o_custkey % 9 = 0 THEN NULL ELSE upper(o_orderpriority) END AS prio FROM orders WHERE o_orderkey % 2 = 0) b USING (o_orderkey)""",
+      (SELECT o_orderkey, CASE WHEN o_custkey % 4 = 0 THEN 'X' ELSE o_orderstatus END AS status, CASE WHEN o_custkey % 9 = 0 THEN NULL ELSE upper(o_orderpriority) END AS prio FROM orders) b USING (o_orderkey)""",
 )
 def metadata_conflicts(spark, sf):
     o = load(spark, sf, "orders")
     a = o.selectExpr("o_orderkey", "o_orderstatus AS status", "o_orderpriority AS prio")
-    b = o.filter("o_orderkey % 2 = 0").selectExpr(
+    b = o.selectExpr(
         "o_orderkey", "CASE WHEN o_custkey % 4 = 0 THEN 'X' ELSE o_orderstatus END AS status", "CASE WHEN o_custkey % 9 = 0 THEN NULL ELSE upper(o_orderpriority) END AS prio"
     )
     return J.metadata_conflicts(a, b, "o_orderkey", ["status", "prio"])
@@ -99,9 +103,11 @@ def split_report(spark, sf):
     return rounded(out, ["feature_overlap_label_agreement"])
 
 
-@query("unseen_rows", "SELECT p_partkey, p_name FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 49)")
+@query("unseen_rows", "SELECT p_partkey, p_name FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem GROUP BY l_partkey HAVING max(l_quantity) > 49)")
 def unseen_rows(spark, sf):
-    seen = load(spark, sf, "lineitem").filter("l_quantity > 49").selectExpr("l_partkey AS p_partkey")
+    """Parts never ordered in a lot above 49."""
+    largest = load(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.max("l_quantity").alias("most"))
+    seen = largest.filter("most > 49").select("p_partkey")
     return J.unseen(load(spark, sf, "part"), seen, ["p_partkey"]).select("p_partkey", "p_name")
 
 
@@ -109,12 +115,12 @@ def unseen_rows(spark, sf):
 @query(
     "upsert_runs",
     """SELECT run_id, status, total FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY src DESC, total DESC) AS rn FROM (
-      SELECT o_custkey AS run_id, o_orderstatus AS status, o_totalprice AS total, 0 AS src FROM orders WHERE o_orderkey % 3 = 0
+      SELECT o_custkey AS run_id, o_orderstatus AS status, o_totalprice AS total, 0 AS src FROM orders WHERE o_orderkey % 10 <> 1
       UNION ALL SELECT o_custkey, 'NEW', o_totalprice, 1 FROM orders WHERE o_orderkey % 10 = 1) u) t WHERE rn = 1""",
 )
 def upsert_runs(spark, sf):
     o = load(spark, sf, "orders")
-    old = o.filter("o_orderkey % 3 = 0").selectExpr("o_custkey AS run_id", "o_orderstatus AS status", "o_totalprice AS total")
+    old = o.filter("o_orderkey % 10 <> 1").selectExpr("o_custkey AS run_id", "o_orderstatus AS status", "o_totalprice AS total")
     new = o.filter("o_orderkey % 10 = 1").selectExpr("o_custkey AS run_id", "'NEW' AS status", "o_totalprice AS total")
     return J.upsert(old, new, ["run_id"], [F.col("total").desc()])
 
@@ -145,9 +151,11 @@ def column_stats(spark, sf):
     return D.column_stats(load(spark, sf, "orders").select(*_COLS))
 
 
-@query("file_stats")
+@query("file_stats", "SELECT 'lineitem.parquet' AS file_name, count(*) AS row_count, true AS has_bytes, true AS has_blocks FROM lineitem")
 def file_stats(spark, sf):
-    return D.file_stats(load(spark, sf, "lineitem")).drop("file_path")
+    """Sizes and blocks depend on the writer; SQL can only say that there are some."""
+    found = D.file_stats(load(spark, sf, "lineitem"))
+    return found.select("file_name", "row_count", (F.col("size_bytes") > F.col("row_count")).alias("has_bytes"), (F.col("blocks") >= 1).alias("has_blocks"))
 
 
 @query("dataset_summary", "SELECT count(*) AS row_count, 11 AS column_count FROM lineitem")

@@ -197,8 +197,8 @@ def genre_filter(spark, sf):
 
 @query(
     "artist_filter",
-    f"""SELECT track_id, artists FROM ({S.TRACKS_SQL}) t WHERE len(list_filter(list_transform(string_split_regex(artists, '[;,/&]+'),
-      lambda x: regexp_replace(strip_accents(lower(trim(x))), '[^a-z0-9]+', '', 'g')), lambda n: contains(n, 'artist7') OR contains(n, 'brand12'))) > 0""",
+    f"""SELECT track_id, artists FROM ({S.TRACKS_SQL}) t WHERE len(list_filter(list_append(list_transform(string_split_regex(artists, '[;,/&]+'),
+      lambda x: regexp_replace(strip_accents(lower(trim(x))), '[^a-z0-9]+', '', 'g')), regexp_replace(strip_accents(lower(artists)), '[^a-z0-9]+', '', 'g')), lambda n: contains(n, 'artist7') OR contains(n, 'brand12'))) > 0""",
 )
 def artist_filter(spark, sf):
     return Q.by_artist(S.tracks(spark, sf), "ÁRTIST 7 / brand#12").select("track_id", "artists")

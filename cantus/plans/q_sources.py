@@ -82,17 +82,16 @@ def registered_table(spark, sf):
 
 
 # --- streams ---------------------------------------------------------------------------------------------
-@query("stream_ingest", "SELECT event_id, event_type, value FROM events WHERE event_type IN ('click', 'view')")
+@query("stream_ingest", "SELECT event_id, event_type, value FROM events")
 def stream_ingest(spark, sf):
-    """Envelopes of two datasets, routed by one bounded run into a Bronze folder each."""
+    """Envelopes of all event types, routed by one bounded run into a Bronze folder each."""
     base = shared_dir(spark, "ingest")
     e = events_stream(spark, sf)
     body = F.struct("event_id", "event_type", "value")
     wire = e.select(F.to_json(F.struct(F.col("event_type").alias("dataset"), body.alias("payload"))).alias("value"))
     schema = T.StructType([f for f in EVENT_SCHEMA if f.name in ("event_id", "event_type", "value")])
-    X.ingest(wire, {"click": schema, "view": schema}, f"{base}/bronze", f"{base}/checkpoint")
-    parts = [io.good_lines(io.read_bronze(spark, f"{base}/bronze/{d}", schema)) for d in ("click", "view")]
-    return parts[0].unionByName(parts[1])
+    X.ingest(wire, f"{base}/bronze", f"{base}/checkpoint")
+    return io.good_lines(io.read_bronze(spark, f"{base}/bronze", schema)).filter(F.col("dataset") == F.col("event_type")).drop("dataset")
 
 
 @query("stream_dedup", "SELECT user_id, count(*) AS rows FROM (SELECT DISTINCT user_id, event_type FROM events) d GROUP BY user_id")
@@ -135,7 +134,7 @@ _EVENT_KEY = "concat(event_type, '%2Fset+', CAST(user_id % 3 AS STRING), '%2Fpar
 @query(
     "stream_audit",
     """SELECT layer, dataset, count(*) AS records, count(DISTINCT location) AS locations FROM (SELECT event_type AS layer, concat('set ', CAST(user_id % 3 AS VARCHAR)) AS dataset, event_id AS location
-      FROM events WHERE event_id % 4 > 0 AND event_id % 5 > 0 AND event_type <> 'error') t GROUP BY layer, dataset""",
+      FROM events WHERE event_id % 4 > 0 AND event_id % 5 > 0) t GROUP BY layer, dataset""",
 )
 def stream_audit(spark, sf):
     """Nested object events on a stream -> audit records partitioned by layer."""
@@ -144,16 +143,16 @@ def stream_audit(spark, sf):
         F.expr("CASE WHEN event_id % 5 = 0 THEN 'other' ELSE 'aws:s3' END").alias("eventSource"), F.lit("ObjectCreated:Put").alias("eventName"),
         F.struct(F.struct(F.lit("lake").alias("name")).alias("bucket"), F.struct(F.expr(_EVENT_KEY).alias("key")).alias("object")).alias("s3"),
     )
-    wire = events_stream(spark, sf).filter("event_type <> 'error'").select(F.to_json(F.struct(F.array(record).alias("Records"))).alias("value"))
+    wire = events_stream(spark, sf).select(F.to_json(F.struct(F.array(record).alias("Records"))).alias("value"))
     X.copy_stream(X.audit_records(wire, suffix=".parquet"), f"{base}/out", f"{base}/checkpoint", partition_by=["layer"])
     out = io.read_layer(spark, f"{base}/out")
     return out.groupBy("layer", "dataset").agg(F.count("*").alias("records"), F.countDistinct("location").alias("locations"))
 
 
-@query("stream_replay", "SELECT event_type, count(*) AS rows FROM events WHERE value >= 10 GROUP BY event_type")
+@query("stream_replay", "SELECT event_type, count(*) AS rows FROM events GROUP BY event_type")
 def stream_replay(spark, sf):
     """A paced replay, then the count check against the batch table."""
     base = shared_dir(spark, "replay")
-    X.copy_stream(events_stream(spark, sf).filter("value >= 10"), f"{base}/out", f"{base}/checkpoint")
+    X.copy_stream(events_stream(spark, sf), f"{base}/out", f"{base}/checkpoint")
     replayed = K.keep_one(io.read_layer(spark, f"{base}/out"), ["event_id"], [F.col("ts").asc()])
     return replayed.groupBy("event_type").agg(F.count("*").alias("rows"))

@@ -39,9 +39,12 @@ def artist_folding(spark, sf):
     return load(spark, sf, "documents").select("doc_id", F.md5(X.fold_name(F.col("text"))).alias("name"))
 
 
-@query("artist_folding_full")
+@query(
+    "artist_folding_full",
+    "SELECT doc_id, md5(regexp_replace(strip_accents(replace(lower(trim(text)), 'ß', '')), '[^a-z0-9]+', '', 'g')) AS name FROM documents",
+)
 def artist_folding_full(spark, sf):
-    return load(spark, sf, "documents").select("doc_id", F.length(X.fold_name_udf()(F.col("text"))).alias("length"))
+    return load(spark, sf, "documents").select("doc_id", F.md5(X.fold_name_udf()(F.col("text"))).alias("name"))
 
 
 LEXICON = {
@@ -50,13 +53,18 @@ LEXICON = {
     "energetic": ("of", "en", "die", "or"),
     "calm": ("in", "la", "re"),
 }
-_RATES = ", ".join(
-    f"CAST(len(list_filter(toks, lambda x: x IN ({', '.join(repr(w) for w in ws)}))) AS DOUBLE) / greatest(wc, 1) AS r_{m}" for m, ws in LEXICON.items()
-)
-LEXICON_SQL = rf"""SELECT doc_id, {_RATES} FROM (SELECT doc_id, len(string_split_regex(trim(text), '[ \t\n\x0B\f\r]+')) AS wc,
+
+
+def _rates_sql(lexicon) -> str:
+    listed = {m: ", ".join(sorted({repr(X.fold_name_literal(w)) for w in ws})) for m, ws in lexicon.items()}
+    rates = ", ".join(f"CAST(len(list_filter(toks, lambda x: x IN ({ws}))) AS DOUBLE) / greatest(wc, 1) AS r_{m}" for m, ws in listed.items())
+    return rf"""SELECT doc_id, {rates} FROM (SELECT doc_id, len(string_split_regex(trim(text), '[ \t\n\x0B\f\r]+')) AS wc,
     string_split_regex(strip_accents(lower(text)), '[^a-z]+') AS toks FROM documents) t"""
 
 
+LEXICON_SQL = _rates_sql(LEXICON)
+
+
 @query("lexicon_rates", f"SELECT doc_id, {', '.join(rnd(f'r_{m}', f'lyrics_{m}_lexicon_rate') for m in LEXICON)} FROM ({LEXICON_SQL}) r")
 def lexicon_rates(spark, sf):
     names = [f"lyrics_{m}_lexicon_rate" for m in LEXICON]
@@ -80,9 +88,11 @@ def lyrics_distribution(spark, sf):
     return rounded(d.select("doc_id", *names, "lyrics_predicted_mood"), names)
 
 
-@query("default_lexicon_rates")
+@query("default_lexicon_rates", f"SELECT doc_id, {', '.join(rnd(f'r_{m}', f'lyrics_{m}_lexicon_rate') for m in DEFAULT_LEXICON)} FROM ({_rates_sql(DEFAULT_LEXICON)}) r")
 def default_lexicon_rates(spark, sf):
-    return R.lexicon_rates(load(spark, sf, "documents").select("doc_id", "text"), "text", DEFAULT_LEXICON).drop("text")
+    names = [f"lyrics_{m}_lexicon_rate" for m in DEFAULT_LEXICON]
+    d = R.lexicon_rates(load(spark, sf, "documents").select("doc_id", "text"), "text", DEFAULT_LEXICON)
+    return rounded(d.select("doc_id", *names), names)
 
 
 # --- activity interpretation -------------------------------------------------------------------------
@@ -162,11 +172,11 @@ def hybrid_activity(spark, sf):
 @query(
     "expand_phrases",
     "SELECT DISTINCT doc_id, md5(text) AS text FROM ("
-    + " UNION ALL ".join(f"SELECT doc_id, concat('{t.split('{}')[0]}', {_norm_sql('text')}, '{t.split('{}')[1]}') AS text FROM documents WHERE lang = 'en'" for t in PHRASE_TEMPLATES)
+    + " UNION ALL ".join(f"SELECT doc_id, concat('{t.split('{}')[0]}', {_norm_sql('text')}, '{t.split('{}')[1]}') AS text FROM documents" for t in PHRASE_TEMPLATES)
     + ") e",
 )
 def expand_phrases(spark, sf):
-    d = load(spark, sf, "documents").filter("lang = 'en'").select("doc_id", F.col("text").alias("phrase"))
+    d = load(spark, sf, "documents").select("doc_id", F.col("text").alias("phrase"))
     return A.expand_phrases(d, "phrase").select("doc_id", F.md5("text").alias("text"))
 
 

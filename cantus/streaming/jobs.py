@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import parse as P
-from ..sources import io
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", max_files: int | None = None) -> DataFrame:
@@ -52,15 +51,23 @@ def run(writer, timeout: int | None = None) -> None:
         raise TimeoutError("stream did not finish in time")
 
 
-def ingest(events: DataFrame, schemas: dict[str, T.StructType], bronze: str, checkpoint: str, timeout: int | None = None) -> None:
-    """Route events to one Bronze JSON folder per dataset.
+REJECTED = "rejected"
 
-    One file sink per dataset, each with its own checkpoint: exactly-once per sink.
+
+def ingest(events: DataFrame, bronze: str, checkpoint: str, timeout: int | None = None) -> None:
+    """Route the payloads of all events to Bronze JSON Lines, partitioned by dataset.
+
+    One stream reads the input once, and one file sink writes it exactly once.  An event without a
+    dataset or a payload goes whole to the dataset ``rejected``.
     """
-    for name, schema in schemas.items():
-        routed = io.open_envelope(events, schema, name)
-        writer = routed.writeStream.format("json").outputMode("append").option("checkpointLocation", f"{checkpoint}/{name}")
-        run(writer.option("path", f"{bronze}/{name}"), timeout)
+    event = F.col("value").cast("string")
+    dataset, payload = F.get_json_object(event, "$.dataset"), F.get_json_object(event, "$.payload")
+    good = dataset.isNotNull() & payload.isNotNull()
+    routed = events.select(
+        F.when(good, payload).otherwise(F.coalesce(event, F.lit(""))).alias("value"), F.when(good, dataset).otherwise(REJECTED).alias("dataset")
+    )
+    writer = routed.writeStream.format("text").outputMode("append").option("checkpointLocation", checkpoint).option("path", bronze)
+    run(writer.partitionBy("dataset"), timeout)
 
 
 def copy_stream(stream: DataFrame, path: str, checkpoint: str, timeout: int | None = None, partition_by: list[str] = ()) -> None:

@@ -410,3 +410,40 @@ def test_rule_counts_need_no_list_per_row(spark):
     df = spark.createDataFrame([(None, -1.0), (2.0, 3.0), (0.5, 3.0)], "energy double, tempo double")
     got = {r["rule"]: r["rows"] for r in Q.count_failed_rules(df, ["energy"]).collect()}
     assert sorted(got.values()) == [1, 1, 1]
+
+
+def test_name_folding_of_every_sign(spark):
+    signs = [chr(c) for c in range(0x80, 0x20000) if not 0xD800 <= c < 0xE000]
+    words = [f"x{c}y" for c in signs] + ["𝐚bc", "\ufb01n", "a\u00bdb\ufb01"]
+    got = spark.createDataFrame([(w,) for w in words], "w string").select("w", X.fold_name(F.col("w")).alias("f")).collect()
+    assert {r.w: r.f for r in got[-3:]} == {"𝐚bc": "abc", "\ufb01n": "fin", "a\u00bdb\ufb01": "a12bfi"}
+    assert [r.w for r in got if r.f != X.fold_name_literal(r.w)] == []
+
+
+def test_artist_search_spans_a_separator(spark):
+    df = spark.createDataFrame([(1, "Nord & Sued"), (2, "Nord;Ost"), (3, None)], "id int, artists string")
+    assert [r.id for r in Q.by_artist(df, "nord & sued").collect()] == [1]
+
+
+def test_sample_rows_with_repeated_keys(spark):
+    df = spark.range(100).selectExpr("id", "id % 3 AS k")
+    for n in (1, 12, 34, 50, 100, 200):
+        assert sorted(r.id for r in K.sample_rows(df, ["k"], n).collect()) == sorted(set(r.id for r in K.sample_rows(df, ["k"], n).collect()))
+        assert K.sample_rows(df, ["k"], n).count() == min(n, 100)
+
+
+def test_events_that_do_not_parse_are_kept(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from cantus.sources import io
+    from cantus.streaming import jobs
+
+    events = ['{"dataset": "a", "payload": {"x": 1}}', '{"dataset": "b", "payload": {"x": 2}}', "no json", '{"payload": {"x": 3}}', None]
+    base, schema = str(tmp_path), T.StructType([T.StructField("value", T.StringType())])
+    for i in range(3):  # several files and batches; the second run goes on where the first stopped
+        spark.createDataFrame([(e,) for e in events], schema).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        if i:
+            jobs.ingest(jobs.file_stream(spark, f"{base}/in", schema, max_files=1), f"{base}/bronze", f"{base}/checkpoint")
+    found = io.read_bronze(spark, f"{base}/bronze", T.StructType([T.StructField("x", T.LongType())]))
+    assert {r["dataset"]: r["count"] for r in found.groupBy("dataset").count().collect()} == {"a": 3, "b": 3, jobs.REJECTED: 9 - spark.read.text(f"{base}/bronze").filter("value = ''").count()}
+    assert sorted(r.x for r in io.good_lines(found).filter("dataset <> 'rejected'").collect()) == [1, 1, 1, 2, 2, 2]
