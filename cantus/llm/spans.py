@@ -172,6 +172,7 @@ def cut_spans(
             no = np.concatenate([no, np.repeat(units.doc_no[ki], n_win) if len(ki) else []]).astype(np.int64)
             first = units.start[ki] + np.maximum(kj, 0) if len(ki) else np.empty(0, np.int64)
             start = np.concatenate([start, np.repeat(first, n_win) + step]).astype(np.int64)
+            del units, known
             new, numbers = remove(texts, no, start)
             back = np.empty(len(order), np.int64)
             back[order] = np.arange(len(order))

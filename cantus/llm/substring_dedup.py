@@ -10,15 +10,12 @@ more than one leaf are the repeats; the first leaf stays.  Prefixes that occur o
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 from pyspark.sql import DataFrame
 from xxhash import xxh64_intdigest
 
 from .spans import Units, cut_spans
 
-_SPACED = re.compile(rb"([\x20\x09-\x0D]+)")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -48,6 +45,9 @@ def units_of(texts: list[bytes], window: int, group: int) -> Units:
     if n < window:
         return Units(none.astype(np.uint64), none, none, none, None)
     ids, distinct = word_ids(words)
+    joined = b" ".join(words)
+    offset = np.concatenate([[0], np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1)])
+    del words  # the word objects are most of a task's memory
     hashes = np.array([xxh64_intdigest(x, 42) for x in distinct], np.uint64)[ids]
     with np.errstate(over="ignore"):
         grams = np.zeros(n - group + 1, np.uint64)
@@ -65,18 +65,30 @@ def units_of(texts: list[bytes], window: int, group: int) -> Units:
     begins = np.flatnonzero(np.diff(own, prepend=-1))
     count = np.diff(np.append(begins, len(first)))
     at = first[begins]
-    joined = b" ".join(words)
-    offset = np.concatenate([[0], np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1)]).tolist()
-    at_list, last = at.tolist(), (at + count + window - 1).tolist()
+    begin, end = offset[at].tolist(), (offset[at + count + window - 1] - 1).tolist()
 
     def body(i: int, j: int) -> bytes:
         if j < 0:
-            return joined[offset[at_list[i]] : offset[last[i]] - 1]
-        return joined[offset[at_list[i] + j] : offset[at_list[i] + j + window] - 1]
+            return joined[begin[i] : end[i]]
+        return joined[offset[at[i] + j] : offset[at[i] + j + window] - 1]
 
     return Units(grams[own[begins]], doc[at], at - starts[doc[at]], count, body)
 
 
+def word_starts(text: bytes) -> np.ndarray:
+    """Where the words of a text begin."""
+    codes = np.frombuffer(text, np.uint8)
+    blank = (codes == 0x20) | ((codes >= 0x09) & (codes <= 0x0D))
+    return np.flatnonzero(~blank & np.concatenate([[True], blank[:-1]]))
+
+
+def without(text: bytes, starts: np.ndarray, gone: np.ndarray) -> bytes:
+    """``text`` less the words marked ``gone``, each with the white space after it."""
+    edges = np.flatnonzero(np.diff(~gone, prepend=False, append=False)).reshape(-1, 2)
+    bounds = np.append(starts, len(text))
+    return b"".join([text[: starts[0]], *[text[a:z] for a, z in bounds[edges].tolist()]])
+
+
 def subtree(bodies: list[bytes], window: int) -> list[int]:
     """For units of one prefix in order: a mask of the windows whose node has an earlier leaf."""
     nodes: set[bytes] = set()
@@ -125,18 +137,13 @@ def substring_dedup(
                 n_words[d] = len(t.split())
                 out.append(t)
                 continue
-            bits = _SPACED.split(t)
-            lead = 2 if bits[0] == b"" else 0  # white space before the first word
-            words, gaps = bits[lead::2], [*bits[lead + 1 :: 2], b""]
-            if words[-1] == b"":
-                words.pop()
-            edge = np.zeros(len(words) + 1, np.int64)
+            begins = word_starts(t)
+            edge = np.zeros(len(begins) + 1, np.int64)
             np.add.at(edge, start[cuts[d] : cuts[d + 1]], 1)
             np.add.at(edge, start[cuts[d] : cuts[d + 1]] + window, -1)
             gone = np.cumsum(edge[:-1]) > 0
-            n_words[d], n_removed[d] = len(words), int(gone.sum())
-            kept = np.flatnonzero(~gone).tolist()
-            out.append(b"".join([*bits[:lead], *[words[i] + gaps[i] for i in kept]]))
+            n_words[d], n_removed[d] = len(begins), int(gone.sum())
+            out.append(without(t, begins, gone))
         return out, (n_words, n_removed)
 
     if window - group + 1 > 62 or window <= group:
