@@ -67,8 +67,9 @@ def open_envelope(events: DataFrame, payload: T.StructType, dataset: str | None
     return kept.select("e.payload.*")
 
 
-def append_json_lines(df: DataFrame, path: str) -> None:
-    df.write.mode("append").json(path)
+def append_json_lines(df: DataFrame, path: str, clean: bool = False) -> None:
+    """Add to the dataset's historical Bronze; ``clean`` replaces it by this run."""
+    df.write.mode("overwrite" if clean else "append").json(path)
 
 
 def read_bronze(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
