@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..fixed_values import SHARED_FEATURES
 from ..operators import metadata as MD
 from ..operators import phrases as PH
 from ..operators import prepare as R
+from ..operators import upload as U
 from ..session import shared_dir
 from ..sources import io
 from ..streaming import jobs as X
+from . import standins as S
 from .registry import load, query, rounded
 
 
@@ -104,6 +107,52 @@ def stored_scaler(spark, sf):
     return rounded(out, list(_SCALED))
 
 
+# An upload with the usual faults: rows without a link, energy out of range, missing values.
+_UPLOAD = {
+    **{c: S.FEATURES[c] for c in SHARED_FEATURES},
+    "energy": f"CASE WHEN l_quantity = 13 THEN 1.5 ELSE {S.FEATURES['energy']} END",
+    "danceability": f"CASE WHEN l_quantity = 7 THEN NULL ELSE {S.FEATURES['danceability']} END",
+    "spotify_url": "CASE WHEN l_linenumber = 7 THEN '' ELSE concat('https://open.spotify.com/track/', lpad(CAST(l_partkey AS STRING), 22, '0')) END",
+}
+# Stand-in for a fitted model: shares as a fixed function of the scaled features.
+_SHARES = {"sad": "1 / (1 + exp(valence))", "happy": "1 / (1 + exp(0 - valence))", "energetic": "1 / (1 + exp(0 - energy))", "calm": "1 / (1 + exp(energy))"}
+_Z = ", ".join(f"({c} - (SELECT avg({c}) FROM f)) / (SELECT stddev_samp({c}) FROM f) AS {c}" for c in ("energy", "valence"))
+
+
+@query(
+    "upload_catalog",
+    f"""WITH f AS ({S.FEATURES_SQL}), u AS ({S.view_sql(_UPLOAD, "lineitem")}), ok AS (SELECT * FROM u WHERE spotify_url <> '' AND energy <= 1 AND danceability IS NOT NULL),
+    z AS (SELECT {_Z} FROM ok), p AS (SELECT {", ".join(f"({e}) / 2 AS {m}" for m, e in _SHARES.items())} FROM z),
+    c AS (SELECT greatest(sad, happy, energetic, calm) AS top, CASE WHEN sad >= greatest(happy, energetic, calm) THEN 'sad' WHEN happy >= greatest(energetic, calm) THEN 'happy' WHEN energetic >= calm THEN 'energetic' ELSE 'calm' END AS mood FROM p),
+    h AS (SELECT mood, count(*) AS n, round(sum(top), 4) AS total FROM c GROUP BY mood)
+    SELECT 'catalog' AS part, 'base' AS source, 'calm' AS predicted_mood, count(*) AS rows, CAST(count(*) AS DOUBLE) AS confidence FROM part
+    UNION ALL SELECT 'catalog', 'realtime_prediction', mood, n, total FROM h UNION ALL SELECT 'history', 'realtime_prediction', mood, n, total FROM h
+    UNION ALL SELECT 'rejected', NULL, NULL, (SELECT count(*) FROM u) - (SELECT count(*) FROM ok), NULL""",
+)
+def upload_catalog(spark, sf):
+    """An upload is checked, scaled with stored statistics, classified, and appended to catalog and history."""
+    base = shared_dir(spark, "upload")
+    io.write_layer(R.scaler_stats(S.features(spark, sf), list(SHARED_FEATURES)), f"{base}/scaler")
+    catalog = load(spark, sf, "part").selectExpr(
+        "concat('T', CAST(p_partkey AS STRING)) AS track_id", "p_name AS track_name", "'calm' AS predicted_mood", "CAST(1 AS DOUBLE) AS mood_confidence",
+        "'base' AS source", "CAST(NULL AS STRING) AS cover_url",
+    )
+    io.write_layer(catalog, f"{base}/catalog")
+    uploaded = S.view(spark, sf, _UPLOAD, "lineitem").withColumnsRenamed({"duration_ms": "Duration (ms)", "spotify_url": "URL"})
+    score = lambda df: df.withColumns({f"p_{m}": F.expr(f"({e}) / 2") for m, e in _SHARES.items()})
+    done, rejected = U.classify_upload(uploaded, score, io.load_scaler_stats(spark, [f"{base}/scaler"]))
+    io.append_classified(done, f"{base}/catalog", f"{base}/history")
+    out = rejected.agg(
+        F.lit("rejected").alias("part"), F.lit(None).cast("string").alias("source"), F.lit(None).cast("string").alias("predicted_mood"),
+        F.count("*").alias("rows"), F.lit(None).cast("double").alias("confidence"),
+    )
+    for part in ("catalog", "history"):
+        rows = io.read_layer(spark, f"{base}/{part}").groupBy("source", "predicted_mood")
+        sums = rows.agg(F.count("*").alias("rows"), F.round(F.sum("mood_confidence"), 4).alias("confidence"))
+        out = out.unionByName(sums.withColumn("part", F.lit(part)))
+    return out
+
+
 @query("stream_history", "SELECT event_type, 2 * count(*) AS rows, round(2 * sum(value), 4) AS total, CAST(2 AS BIGINT) AS runs, 3 AS last_batch FROM events GROUP BY event_type")
 def stream_history(spark, sf):
     """Several files and batches; a job that goes on with later files, then a second job: both histories stay."""

@@ -127,6 +127,16 @@ def append_history(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def append_classified(classified: DataFrame, catalog: str, history: str) -> None:
+    """Rows to the catalog, by its columns, and whole to the history; computed once for both."""
+    kept = classified.persist()
+    try:
+        append_aligned(kept, catalog)
+        append_history(kept, history)
+    finally:
+        kept.unpersist()
+
+
 def load_scaler_stats(spark: SparkSession, candidates: list[str]) -> DataFrame | None:
     """The first candidate that has the columns feature, mean and std."""
     for path in candidates:

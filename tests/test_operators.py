@@ -447,3 +447,44 @@ def test_events_that_do_not_parse_are_kept(spark, tmp_path):
     found = io.read_bronze(spark, f"{base}/bronze", T.StructType([T.StructField("x", T.LongType())]))
     assert {r["dataset"]: r["count"] for r in found.groupBy("dataset").count().collect()} == {"a": 3, "b": 3, jobs.REJECTED: 9 - spark.read.text(f"{base}/bronze").filter("value = ''").count()}
     assert sorted(r.x for r in io.good_lines(found).filter("dataset <> 'rejected'").collect()) == [1, 1, 1, 2, 2, 2]
+
+
+def test_stream_timeout_then_resume(spark, tmp_path):
+    import time
+
+    from cantus.streaming import jobs
+
+    base = str(tmp_path)
+    spark.range(30).repartition(3).write.parquet(f"{base}/in")
+
+    def job(classify, timeout=None):
+        stream = jobs.file_stream(spark, f"{base}/in", spark.range(1).schema, max_files=1)
+        jobs.classify_online(stream, classify, f"{base}/catalog", f"{base}/history", f"{base}/check", timeout)
+
+    def slow(batch):
+        time.sleep(4)
+        raise RuntimeError("stopped")
+
+    with pytest.raises(TimeoutError):
+        job(slow, timeout=1)
+    job(lambda batch: batch)
+    rows = spark.read.parquet(f"{base}/history")
+    assert rows.count() == rows.select("id").distinct().count() == 30
+    assert rows.select("batch").distinct().count() == 3
+
+
+def test_clean_bronze_replaces_earlier_runs(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    for clean, rows in ((False, 3), (False, 6), (True, 3)):
+        io.append_json_lines(spark.range(3), path, clean=clean)
+        assert spark.read.json(path).count() == rows
+
+
+def test_tf_idf_has_unit_length_per_kind(spark):
+    df = spark.createDataFrame([(1, "uno dos uno"), (2, "dos tres"), (3, None)], "k int, t string")
+    rows = PH.tf_idf(df, "k", "t").collect()
+    for key in {(r["k"], r["kind"]) for r in rows}:
+        assert math.fsum(r["weight"] ** 2 for r in rows if (r["k"], r["kind"]) == key) == pytest.approx(1)
+    own = {r["term"]: r["weight"] for r in rows if r["k"] == 2 and r["kind"] == 0}
+    idf = lambda df: math.log(4 / (1 + df)) + 1
+    assert own["dos"] / own["tres"] == pytest.approx(idf(2) / idf(1)) and "dos tres" in own
