@@ -110,7 +110,7 @@ def _(spark, sf):
 
 @_query("op9_line_dedup")
 def _(spark, sf):
-    done = line_dedup.line_dedup(table(spark, sf, "documents").select("doc_id", "text"))
+    done = line_dedup.line_run_dedup(table(spark, sf, "documents").select("doc_id", "text"))
     return done.select("doc_id", "n_lines", "n_removed_lines", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 

@@ -25,8 +25,8 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Multi-line chunks that occur earlier are cut from the texts; documents stay."""
-    return _sized(line_dedup.line_dedup(docs).select(docs.columns))
+    """Runs of two or more lines that occur earlier are cut from the texts; documents stay."""
+    return _sized(line_dedup.line_run_dedup(docs).select(docs.columns))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -130,6 +130,49 @@ def test_line_dedup(docs, texts, empty):
     assert line_dedup.line_dedup(empty).count() == 0
 
 
+def brute_runs(texts):
+    """Lines that go from each text: those of pairs seen before, and blank lines between such lines."""
+    seen, out = {}, []
+    for d, text in enumerate(texts):
+        lines = text.split(b"\n")
+        gone = [False] * len(lines)
+        for i, pair in enumerate(zip(lines, lines[1:])):
+            if b"".join(pair).strip():
+                first = seen.setdefault(pair, (d, i))
+                if first != (d, i) and first != (d, i - 1):
+                    gone[i] = gone[i + 1] = True
+        solid = [i for i, x in enumerate(lines) if x.strip()]
+        for a, z in zip(solid, solid[1:]):
+            if z > a + 1 and gone[a + 1] and gone[z - 1]:
+                gone[a + 1 : z] = [True] * (z - a - 1)
+        out.append(([x for x, g in zip(lines, gone) if not g], sum(gone)))
+    return out
+
+
+def test_line_runs_of_every_length(spark, empty):
+    rng = np.random.default_rng(8)
+
+    def line():
+        return " ".join(str(w) for w in rng.integers(0, 10_000, 4))
+
+    texts, passages = [], []
+    for n in [2, 3, 4, 6, 8, 10, 20] * 3:
+        passages.append([line() for _ in range(n)])
+        for _ in range(2):
+            texts.append("\n".join([line(), line(), *passages[-1], line()]))
+    texts += ["a\na\na", "b\na\na\na\na\na", "one\n\n\n\n\ntwo", "x\none\n\n\n\n\ntwo\ny", "\n\n\n", "\n\n", "same", "same", "p\nq\np\nq\np", "", "q\np"]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, texts[0]), (900, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = by_id(line_dedup.line_run_dedup(docs, batch_bytes=500, bytes_per_owner=1_000))
+    want = brute_runs([t.encode() for t in [*texts, texts[0]]])
+    for i, (kept, n) in zip([*range(len(texts)), None], want):
+        assert ((got[i].text or "").encode(), got[i].n_removed_lines) == (b"\n".join(kept), n)
+    for k, own in enumerate(passages):  # the whole passage goes from the second text, its neighbours stay
+        assert (got[2 * k].n_removed_lines, got[2 * k + 1].n_removed_lines, got[2 * k + 1].n_lines) == (0, len(own), len(own) + 3)
+    assert got[None].n_removed_lines == got[None].n_lines and got[900].text is None
+    assert line_dedup.line_run_dedup(empty).count() == 0
+
+
 def brute_print(text):
     words = text.lower().split()
     shingles = [b" ".join(words[k : k + 3]) for k in range(max(1, len(words) - 2))] if words else []
