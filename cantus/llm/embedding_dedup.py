@@ -7,21 +7,24 @@ half, how far a vector of a cell must at least be from the query, by the plane b
 nearest code and the cell's.  Cells whose squared bounds sum to more than the squared distance of
 the threshold cannot hold a partner, so the traversal ends there at a recall of 1; a smaller target
 recall ends it at that share of the squared distance.  Candidates of visited cells are verified by
-exact cosines.  Equal vectors of a label are one entry with a count.
+exact cosines.  Equal vectors of a label are one entry with a count.  Vectors of each length have
+codebooks, cells and groups of their own.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_sample, written
+from .common import written
 from .components import components
 from .simhash import Forest
 
 ENTRY = "rep long, label long, n long, vector array<double>"
+CELLED = ENTRY + ", size int, cell long"
 
 
 def usable(vec_col: str, label_col: str):
@@ -79,6 +82,35 @@ def visits(bound1: np.ndarray, bound2: np.ndarray, limit: float):
                 heappush(heap, (a[ni] + b[nj], ni, nj))
 
 
+def codebooks(held: DataFrame, cell_rows: int, sample: int) -> dict[int, list[np.ndarray]]:
+    """Per vector length the codes of either half; lengths left out have one cell a label.
+
+    About ``sample`` points are fitted in all, dealt to the lengths by the size of their codebooks.
+    """
+    length = F.size("vector")
+    rows = held.groupBy(length.alias("size")).agg(F.count("*").alias("n"), F.count_distinct("label").alias("labels")).collect()
+    wanted = {r.size: int(np.ceil(np.sqrt(r.n / r.labels / cell_rows))) for r in rows if r.size > 1}
+    wanted = {s: k for s, k in wanted.items() if k > 1}
+    if not wanted:
+        return {}
+    quota = {s: max(1, sample * k // sum(wanted.values())) for s, k in wanted.items()}
+    parts = 1_000_000  # by the share of a hash, so that tasks together send little more than the quotas
+    counts = {r.size: r.n for r in rows}
+    share = F.create_map([F.lit(x) for s, q in quota.items() for x in (s, min(parts, -(-12 * parts * q // (10 * counts[s]))))])
+    hashed = F.xxhash64("rep", F.lit(9))
+    picked: dict[int, list] = {}
+    for r in held.where(F.pmod(hashed, F.lit(parts)) < F.element_at(share, length)).select(hashed.alias("h"), "rep", "vector").collect():
+        picked.setdefault(len(r.vector), []).append(r)
+    codes = {}
+    for size, found in picked.items():
+        points = np.array([r.vector for r in sorted(found, key=lambda r: (r.h, r.rep))[: quota[size]]], float)
+        points /= np.abs(points).max(axis=1, keepdims=True)
+        points /= np.linalg.norm(points, axis=1, keepdims=True)
+        k = min(wanted[size], max(len(points) // 8, 1))
+        codes[size] = [k_means(points[:, half], k, 8, 1) for half in (slice(0, size // 2), slice(size // 2, None))]
+    return codes
+
+
 def embedding_groups(
     vectors: DataFrame,
     threshold: float = 0.98,
@@ -94,63 +126,58 @@ def embedding_groups(
 
     Rows link if their labels are equal and not null and their cosine is at least ``threshold``.
     Null, zero and non-finite vectors and null labels link with nothing; their component is their own
-    id.  Equal vectors of a label always link.  Vectors have one length; those shorter than the longest link only with equal ones.  Rows that
+    id.  Equal vectors of a label always link; vectors of different lengths never do.  Rows that
     repeat an id give a row each.  Extra columns are ignored; an empty table gives no rows.
-    ``sample`` bounds the rows on which the codebooks are fitted (every row is indexed);
-    ``cell_rows`` sets their size from the number of rows; ``slice_rows`` bounds the blocks compared.
+    ``sample`` bounds the rows on which the codebooks of all lengths are fitted (every row is
+    indexed); ``cell_rows`` sets their size from the rows of a length; ``slice_rows`` bounds the
+    blocks compared.
     """
     held = written(entries(vectors, id_col, vec_col, label_col), "vectors")
-    count, labels, size = held.agg(F.count("*"), F.count_distinct("label"), F.coalesce(F.max(F.size("vector")), F.lit(0))).first()
-    fitted = held.where(F.size("vector") == size).select("rep", "vector")
-    picked = hash_sample(fitted, "rep", count, sample).collect()
-    points = np.array([r.vector for r in picked], float).reshape(len(picked), max(size, 1))
-    points /= np.maximum(np.abs(points).max(axis=1, keepdims=True), 1e-300)
-    points /= np.linalg.norm(points, axis=1, keepdims=True)
-    k = int(np.clip(np.ceil(np.sqrt(count / max(labels, 1) / cell_rows)), 1, max(len(points) // 8, 1)))
-    cut = size // 2
-    codes = [k_means(points[:, p], k, 8, 1) for p in (slice(0, cut), slice(cut, None))] if len(points) else []
+    codes = codebooks(held, cell_rows, sample)
     limit = (2 - 2 * threshold + 1e-9) * recall
 
-    def halves(rows: pa.Table | pa.RecordBatch):
-        vec = np.array(rows["vector"].to_pylist(), float)
+    def by_length(batches):
+        """Rows of one length: the rows, their length, codes a half, and the bounds of either half."""
+        for rows in batches:
+            sizes = pc.list_value_length(rows["vector"])
+            for size in pc.unique(sizes).to_pylist():
+                part, cut = rows.filter(pc.equal(sizes, size)), size // 2
+                first, second = codes.get(size) or (np.zeros((1, cut)), np.zeros((1, size - cut)))
+                vec = unit(part)
+                yield part, size, len(second), plane_bounds(vec[:, :cut], first), plane_bounds(vec[:, cut:], second)
+
+    def unit(rows) -> np.ndarray:
+        vec = np.array(rows["vector"].to_pylist(), float).reshape(rows.num_rows, -1)
         vec /= np.abs(vec).max(axis=1, keepdims=True)
-        vec /= np.linalg.norm(vec, axis=1, keepdims=True)
-        return vec, [plane_bounds(vec[:, :cut], codes[0]), plane_bounds(vec[:, cut:], codes[1])]
+        return vec / np.linalg.norm(vec, axis=1, keepdims=True)
+
+    def celled(part, size: int, cell: np.ndarray) -> pa.RecordBatch:
+        sizes = pa.array(np.full(part.num_rows, size, np.int32))
+        return pa.RecordBatch.from_arrays([*part.columns, sizes, pa.array(cell)], [*part.schema.names, "size", "cell"])
 
     def place(batches):
-        for rows in batches:
-            if rows.num_rows:
-                _, ((a, _), (b, _)) = halves(rows)
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(a * k + b)], [*rows.schema.names, "cell"])
+        for part, size, k, (a, _), (b, _) in by_length(batches):
+            yield celled(part, size, a * k + b)
 
     def route(batches):
-        for rows in batches:
-            if rows.num_rows:
-                _, ((_, first), (_, second)) = halves(rows)
-                cells = [[i * k + j for i, j in visits(x, y, limit)] for x, y in zip(first, second)]
-                at = np.repeat(np.arange(rows.num_rows), [len(c) for c in cells])
-                part = rows.take(pa.array(at))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(np.concatenate(cells).astype(np.int64))], [*part.schema.names, "cell"])
-
-    same = held.where(F.size("vector") == size) if codes else held.where("false")
-    indexed = written(same.mapInArrow(place, ENTRY + ", cell long"), "cells")
+        for part, size, k, (_, first), (_, second) in by_length(batches):
+            cells = [[i * k + j for i, j in visits(x, y, limit)] for x, y in zip(first, second)]
+            at = np.repeat(np.arange(part.num_rows), [len(c) for c in cells])
+            yield celled(part.take(pa.array(at)), size, np.concatenate(cells).astype(np.int64))
+
+    indexed = written(held.mapInArrow(place, CELLED), "cells")
     # a large cell: its rows in slices, its queries in chunks, each pair of them one group
-    parts = written(indexed.groupBy("label", "cell").agg(F.ceil(F.count("*") / slice_rows).alias("slices")), "cell-sizes")
+    parts = written(indexed.groupBy("size", "label", "cell").agg(F.ceil(F.count("*") / slice_rows).alias("slices")), "cell-sizes")
     every = F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)
 
     def dealt(rows, own: str, other: str, seed: int):
-        sized = rows.join(parts.select("label", "cell", "slices"), ["label", "cell"])
-        return sized.select("rep", "label", "n", "vector", "cell", F.pmod(F.xxhash64("rep", F.lit(seed)), "slices").alias(own), F.explode(every).alias(other))
+        sized = rows.join(parts.select("size", "label", "cell", "slices"), ["size", "label", "cell"])
+        return sized.select("rep", "label", "n", "vector", "size", "cell", F.pmod(F.xxhash64("rep", F.lit(seed)), "slices").alias(own), F.explode(every).alias(other))
 
     index = dealt(indexed, "slice", "chunk", 2)
-    asked = dealt(same.mapInArrow(route, ENTRY + ", cell long"), "chunk", "slice", 3)
+    asked = dealt(held.mapInArrow(route, CELLED), "chunk", "slice", 3)
     asked = asked.select([F.col(c).alias(c) for c in asked.columns])
-    keys = ["label", "cell", "slice", "chunk"]
-
-    def unit(rows: pa.Table) -> np.ndarray:
-        vec = np.array(rows["vector"].to_pylist(), float).reshape(rows.num_rows, -1)
-        vec /= np.abs(vec).max(axis=1, keepdims=True)
-        return vec / np.linalg.norm(vec, axis=1, keepdims=True)
+    keys = ["size", "label", "cell", "slice", "chunk"]
 
     def verify(queries: pa.Table, stored: pa.Table) -> pa.Table:
         out = {"a": [], "b": [], "n": []}

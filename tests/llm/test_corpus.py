@@ -309,6 +309,29 @@ def test_embedding_groups(spark):
     assert embedding_dedup.embedding_groups(table.where("false")).count() == 0
 
 
+def test_embedding_groups_of_several_lengths(spark):
+    """A longer stray vector leaves the links of the others; each length links by itself."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for size, n in ((16, 60), (12, 40), (2, 12), (1, 12)):
+        base = rng.normal(size=(n, size))
+        rows += [[float(x) for x in v] for v in [*base, *(base + rng.normal(scale=0.02, size=base.shape))]]
+    rows += [[1.0] * 17, rows[0] + [0.0]]  # the second is as near as can be, but longer
+    table = spark.createDataFrame([(i, v, i % 2) for i, v in enumerate(rows)], "vec_id long, embedding array<double>, label int").repartition(4)
+    held = [np.array(v) for v in rows]
+
+    def linked(a, b):
+        x, y = held[a], held[b]
+        return a % 2 == b % 2 and len(x) == len(y) and x @ y / np.linalg.norm(x) / np.linalg.norm(y) >= 0.98
+
+    links = [(a, b) for a in range(len(rows)) for b in range(a + 1, len(rows)) if linked(a, b)]
+    root, n = closure(range(len(rows)), links), collections.Counter(x for p in links for x in p)
+    assert {len(rows[a]) for a, _ in links} == {16, 12, 2, 1}
+    for rows_a_cell, sample in ((4, 20_000), (2, 64), (64, 20_000)):
+        got = {r.vec_id: tuple(r)[1:] for r in embedding_dedup.embedding_groups(table, cell_rows=rows_a_cell, sample=sample, slice_rows=5).collect()}
+        assert got == {i: (n[i], root[i], root[i] == i) for i in range(len(rows))}
+
+
 def test_token_counts(docs, texts, empty):
     file = public_tokenizers.path("piece_bpe_32k.model")
     scores = token_counts.zipf_scores(file)
