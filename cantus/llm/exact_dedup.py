@@ -1,4 +1,4 @@
-"""Exact dedup on an extendible-hash index in shared files; DataFrame operations only.
+"""Exact dedup by a hash aggregation; its slots lie in shared files as an extendible-hash index.
 
 Every text, white-space runs made one space, gets a 64-bit hash.  Rows are pre-aggregated per hash
 before they are shuffled, so a hash held by a third of all rows is one row per task.  The index has
@@ -6,7 +6,8 @@ one slot per distinct hash.  Its directory is doubled from one bucket until no b
 than ``bucket_slots`` slots: a bucket's local depth is the fewest leading bits for which that holds.
 Slots are written to shared files by ranges of buckets, each range by its owner task.  Slots of more
 than one row are chains: only their rows are read again, and compared byte by byte, so texts that
-merely share a hash stay apart.
+merely share a hash stay apart.  Chains are found by the aggregation alone: buckets and depths order
+the files and are not read again.
 """
 
 from __future__ import annotations
