@@ -1,11 +1,11 @@
 """Substring dedup: words covered by a window of words that occurs earlier are removed.
 
-Prefix-partitioned suffix trees.  Every window has one anchor, the place of its smallest hashed
-word group (leftmost on ties), so equal windows have equal anchors at equal offsets.  Neighbouring
-windows that share an anchor form one unit, whose bytes hold the suffixes of all of them.  Units
-are split by prefix: the anchor's word group, or for very frequent groups the whole window.  The
-groups of one prefix fit a task; each is a subtree whose nodes at the depth of a window and with
-more than one leaf are the repeats; the first leaf stays.  Prefixes that occur once are never sent.
+Windows grouped by minimizer, in place of suffix trees.  Every window has one anchor, the place of its
+smallest hashed word group (leftmost on ties), so equal windows have equal anchors at equal offsets.
+Neighbouring windows that share an anchor form one unit, whose bytes hold all of them.  Units are
+split by the anchor's word group, or for very frequent groups by the whole window.  The units of one
+word group fit a task, where a set of windows finds the repeats; the first stays.  Word groups that
+occur once are never sent.
 """
 
 from __future__ import annotations
@@ -90,7 +90,7 @@ def without(text: bytes, starts: np.ndarray, gone: np.ndarray) -> bytes:
 
 
 def subtree(bodies: list[bytes], window: int) -> list[int]:
-    """For units of one prefix in order: a mask of the windows whose node has an earlier leaf."""
+    """For units of one word group in order: a mask of the windows that occur earlier."""
     nodes: set[bytes] = set()
     out = []
     for body in bodies:
@@ -124,7 +124,7 @@ def substring_dedup(
     texts shorter than a window stay as they are.  Rows that share an id count as documents in the
     order in which they were staged; a null id counts as the largest.  All other columns pass
     through, but for any called like the two new ones; an empty table gives an empty result.
-    ``many``: prefixes that occur more often are split by the whole window.
+    ``many``: word groups that occur more often are split by the whole window.
     """
 
     def remove(texts, no, start):
