@@ -2,7 +2,8 @@
 
 Gray-order hierarchical index.  Equal fingerprints are one entry.  Two fingerprints within ``bits``
 differing bits agree on at least one of ``bits + 1`` blocks of bits, so entries are dealt by (block,
-value); a value held by too many entries is dealt once more by the blocks of the remaining bits.
+value); a value held by too many entries is dealt again by the blocks of the remaining bits, and what
+is still too large then is cut in slices that are searched pair by pair.
 A task's group holds several values of a block.  Its entries, turned so that the block comes first,
 are sorted by Gray rank, so that neighbours differ in few bits; every node of the index keeps the bits on which all entries below it agree and that no node above holds.  A query
 adds up its differences from the root down and drops a node, with all entries below, once they
@@ -11,6 +12,8 @@ exceed ``bits``.  A group emits a spanning forest of its links, never all pairs.
 
 from __future__ import annotations
 
+from functools import lru_cache, reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -138,25 +141,60 @@ def _masked(places: list[int]) -> int:
     return m - (1 << 64) if m >= 1 << 63 else m
 
 
-def dealt(entries: DataFrame, bits: int, most: int) -> DataFrame:
-    """Each entry once per block of bits; groups above ``most`` once more by the other bits' blocks."""
-    blocks = _blocks(list(range(64)), bits + 1)
-    one = entries.select(
-        "bits", "rep",
-        F.explode(F.array(*[F.struct(F.lit(i).alias("block"), F.col("bits").bitwiseAND(F.lit(_masked(b))).alias("part")) for i, b in enumerate(blocks)])).alias("k"),
-    ).select("bits", "rep", "k.block", "k.part")
-    sizes = one.groupBy("block", "part").agg(F.count("*").alias("n"))
-    large = written(sizes.where(F.col("n") > most).select("block", "part"), "large-groups")
-    plain = one.join(large, ["block", "part"], "left_anti").select("bits", "rep", "block", "part", F.lit(-1).alias("sub"))
-    finer = []
-    for i, b in enumerate(blocks):
-        rest = _blocks([p for p in range(64) if p not in b], bits + 1)
-        for j, own in enumerate(rest):
-            finer.append(F.struct(F.lit(i).alias("block"), F.lit(j).alias("sub"), F.col("bits").bitwiseAND(F.lit(_masked(b + own))).alias("part")))
-    again = one.join(large, ["block", "part"], "left_semi").select(
-        "bits", "rep", F.explode(F.filter(F.array(*finer), lambda x: x["block"] == F.col("block"))).alias("k")
-    )
-    return plain.unionByName(again.select("bits", "rep", "k.block", "k.part", "k.sub"))
+@lru_cache(maxsize=None)
+def _free(path: int, parts: int) -> tuple[int, ...]:
+    """Bit places outside the blocks of ``path``: 1, then a digit to the base ``parts`` for each deal."""
+    if path == 1:
+        return tuple(range(64))
+    before = list(_free(path // parts, parts))
+    own = set(_blocks(before, parts)[path % parts])
+    return tuple(p for p in before if p not in own)
+
+
+def dealt(entries: DataFrame, bits: int, most: int, levels: int = 4) -> DataFrame:
+    """Entries in groups (``block``, ``path``, ``part``, ``pair``) such that linked ones share a group.
+
+    Each entry is dealt once per block of bits, and groups above ``most`` again by the blocks of
+    their other bits, up to ``levels`` deals.  A group that is at most a few times too large, or too
+    large after the last deal, is cut by hash into slices of half of ``most``: a group per pair.
+    """
+    parts = bits + 1
+    key = ["block", "path", "part"]
+
+    def again(batches):
+        for rows in batches:
+            values, path = rows["bits"].to_numpy(), rows["path"].to_numpy()
+            for own in np.unique(path).tolist():
+                at = np.flatnonzero(path == own)
+                some = rows.take(pa.array(at))
+                for j in range(parts):
+                    new = own * parts + j
+                    held = np.int64(_masked([p for p in range(64) if p not in set(_free(new, parts))]))
+                    block = some["block"] if own > 1 else pa.array(np.full(len(at), j, np.int32))
+                    yield pa.RecordBatch.from_arrays(
+                        [some["bits"], some["rep"], block, pa.array(np.full(len(at), new)), pa.array(values[at] & held)], ["bits", "rep", *key]
+                    )
+
+    def deal(rows: DataFrame) -> DataFrame:
+        return rows.select("bits", "rep", "block", "path", "part").mapInArrow(again, "bits long, rep long, block int, path long, part long")
+
+    now = deal(entries.select("bits", "rep", F.lit(0).alias("block"), F.lit(1).cast("long").alias("path"), F.lit(0).cast("long").alias("part")))
+    out = []
+    for level in range(1, levels + 1):
+        sizes = now.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > most)
+        large = written(sizes.select(*key, F.ceil(2 * F.col("n") / most).alias("slices")), "large-groups")
+        out.append(now.join(large, key, "left_anti").select("bits", "rep", *key, F.lit(0).cast("long").alias("pair")))
+        if large.isEmpty():
+            break
+        last = level == levels or min(len(_free(parts**level + i, parts)) for i in range(parts**level)) < parts
+        few = F.lit(last) | (F.col("slices") <= parts + 1)
+        cut = now.join(large.where(few), key).withColumn("own", F.pmod(F.xxhash64("bits", F.lit(5)), "slices"))
+        cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1))).where("own <> other")
+        out.append(cut.select("bits", "rep", *key, (1 + F.least("own", "other") * F.col("slices") + F.greatest("own", "other")).alias("pair")))
+        if last:
+            break
+        now = written(deal(now.join(large.where(~few), key, "left_semi")), "dealt-again")
+    return reduce(DataFrame.unionByName, out)
 
 
 def link_fingerprints(prints: DataFrame, bits: int = 3, most: int = 20_000, group_rows: int = 500) -> DataFrame:
@@ -173,12 +211,13 @@ def link_fingerprints(prints: DataFrame, bits: int = 3, most: int = 20_000, grou
         order = np.argsort(gray_rank(turned), kind="stable")
         turned, reps = turned[order], rows["rep"].to_numpy()[order]
         forest = Forest(len(turned))
-        kept = [p for pairs in gray_links(turned, bits) for p in forest.join(pairs)]
+        block = min(1 << 12, max(64, (1 << 24) // len(turned)))  # bounds the links listed at once
+        kept = [p for pairs in gray_links(turned, bits, block) for p in forest.join(pairs)]
         at = np.array(kept, np.int64).reshape(-1, 2)
         return pa.table({"a": reps[at[:, 0]], "b": reps[at[:, 1]]})
 
     owner = F.pmod(F.xxhash64("part"), F.lit(owners))
-    groups = dealt(entries, bits, most).select("bits", "rep", "block", "sub", owner.alias("owner")).groupBy("block", "sub", "owner")
+    groups = dealt(entries, bits, most).select("bits", "rep", "block", "path", "pair", owner.alias("owner")).groupBy("block", "path", "pair", "owner")
     return components(groups.applyInArrow(search, "a long, b long"))
 
 

@@ -202,6 +202,27 @@ def test_simhash_groups(docs, texts, empty, most):
     assert simhash.simhash_groups(empty).count() == 0
 
 
+def test_simhash_groups_stay_bounded(spark):
+    """Fingerprints that share 46 bits: no task's group is much larger than ``most``, no link is lost."""
+    rng = np.random.default_rng(6)
+    free = rng.choice(64, 18, replace=False).astype(np.uint64)
+    picks = rng.integers(0, 2, (300, 18)).astype(np.uint64)
+    values = np.unique(np.uint64(0x0123456789ABCDEF) ^ (picks << free).sum(axis=1, dtype=np.uint64))
+    values = np.concatenate([values, rng.integers(0, 2**63, 50, dtype=np.uint64)])
+    rows = [(int(v), i) for i, v in enumerate(values.view(np.int64))]
+    prints = spark.createDataFrame(rows, "bits long, doc_id long")
+    groups = simhash.dealt(prints.withColumnRenamed("doc_id", "rep"), 3, 40)
+    assert max(r["count"] for r in groups.groupBy("block", "path", "part", "pair").count().collect()) <= 80
+    near = np.argwhere(np.triu(np.bitwise_count(values[:, None] ^ values[None]) <= 3, 1)).tolist()
+    root = closure(range(len(values)), near)
+    got = {r.node: r.component_id for r in simhash.link_fingerprints(prints, 3, most=40).collect()}
+    assert len(near) > 100 and got == {i: root[i] for i in {x for p in near for x in p}}
+    held = {}
+    for r in groups.collect():
+        held.setdefault(r.rep, set()).add((r.block, r.path, r.part, r.pair))
+    assert all(held[a] & held[b] for a, b in near)
+
+
 def test_simhash_fingerprint_is_the_hash_of_spark(spark):
     from pyspark.sql import functions as F
 
