@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import byte_bpe, embedding_dedup, exact_dedup, line_dedup, lm_scoring, packing, quality, simhash, substring_dedup, token_counts
+from . import byte_bpe, decontamination, embedding_dedup, exact_dedup, line_dedup, lm_scoring, packing, quality, simhash, substring_dedup, token_counts
 from .common import BLANKS, table
 
 QUERIES: dict = {}
@@ -119,6 +119,39 @@ def _(spark, sf):
     return quality.quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"), parts=3, held_out=1)
 
 
+OP12_SQL = r"""
+WITH dw AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM documents
+), bw AS (
+  SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM benchmark
+), item AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[s:s + n - 1], ' ') AS k
+  FROM (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS s FROM bw WHERE len(w) > 0)
+), place AS (
+  SELECT doc_id, n, s, array_to_string(w[s:s + n - 1], ' ') AS k
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM dw, (SELECT DISTINCT n FROM item) AS lengths WHERE len(w) >= n)
+), hit AS (
+  SELECT doc_id, s, place.n, item_id FROM place JOIN item ON place.n = item.n AND place.k = item.k
+), words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM (SELECT DISTINCT doc_id, s, n FROM hit)) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM hit) GROUP BY doc_id
+)
+SELECT dw.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM dw LEFT JOIN words ON dw.doc_id = words.doc_id LEFT JOIN items ON dw.doc_id = items.doc_id
+"""
+
+
+@_query("op12_benchmark_decontamination", OP12_SQL)
+def _(spark, sf):
+    done = decontamination.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"), window=10)
+    listed = F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256")
+    return done.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), listed, "contaminated")
+
+
 @_query("pipeline")
 def _(spark, sf):
     import corpus_pipeline
