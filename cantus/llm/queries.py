@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontamination, embedding_dedup, exact_dedup, line_dedup, lm_scoring, packing, quality, simhash, substring_dedup, token_counts
+from . import byte_bpe, decontamination, embedding_dedup, exact_dedup, filter_audit, hard_negatives, line_dedup, lm_scoring, packing, quality, simhash, substring_dedup, token_counts
 from .common import BLANKS, table
 
 QUERIES: dict = {}
@@ -119,6 +119,44 @@ def _(spark, sf):
     return quality.quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"), parts=3, held_out=1)
 
 
+OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), mask AS (
+  SELECT doc_id, part, (CASE WHEN len(w) < 200 THEN 1 ELSE 0 END) + (CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END)
+    + (CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 4 ELSE 0 END)
+    + (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END) + (CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END) AS m
+  FROM d
+), known AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id
+), cell AS (
+  SELECT part, m, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic FROM mask LEFT JOIN known ON mask.doc_id = known.doc_id GROUP BY part, m
+), letter(f) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM letter a, letter b, letter c, letter d, letter e
+  WHERE a.f NOT IN (b.f, c.f, d.f, e.f) AND b.f NOT IN (c.f, d.f, e.f) AND c.f NOT IN (d.f, e.f) AND d.f <> e.f
+), steps AS (
+  SELECT filter_order, step, (1 << (ascii(substr(filter_order, step, 1)) - 65)) AS own,
+    list_sum(list_transform(range(1, 6), lambda i: CASE WHEN i < step THEN 1 << (ascii(substr(filter_order, i, 1)) - 65) ELSE 0 END))::INTEGER AS gone
+  FROM (SELECT filter_order, unnest(range(1, 6))::INTEGER AS step FROM orders)
+), told AS (
+  SELECT part, filter_order, step, m, own, n, good, toxic, m & own <> 0 AS fails, m & gone <> 0 AS out FROM cell, steps
+)
+SELECT part, filter_order, step, sum(CASE WHEN NOT fails AND NOT out THEN n ELSE 0 END)::BIGINT AS kept,
+  sum(CASE WHEN fails AND NOT out THEN n ELSE 0 END)::BIGINT AS removed, sum(CASE WHEN fails AND out THEN n ELSE 0 END)::BIGINT AS redundant,
+  sum(CASE WHEN m = own THEN n ELSE 0 END)::BIGINT AS unique_fails, sum(CASE WHEN fails AND NOT out THEN good ELSE 0 END)::BIGINT AS good_lost,
+  sum(CASE WHEN fails AND NOT out THEN toxic ELSE 0 END)::BIGINT AS toxic_lost, sum(CASE WHEN fails THEN n * (120 // bit_count(m)) ELSE 0 END)::BIGINT AS shapley
+FROM told GROUP BY part, filter_order, step
+"""
+
+
+@_query("op11_filter_audit", OP11_SQL)
+def _(spark, sf):
+    return filter_audit.filter_audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 OP12_SQL = r"""
 WITH dw AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
@@ -152,6 +190,30 @@ def _(spark, sf):
     return done.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), listed, "contaminated")
 
 
+OP13_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.e, b.e)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), positive AS (
+  SELECT anchor_id, vec_id AS positive_id, score FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS r FROM pairs WHERE same) WHERE r <= 5
+), negative AS (
+  SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.vec_id) AS rank,
+    n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+  FROM positive p JOIN pairs n ON p.anchor_id = n.anchor_id AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM negative WHERE rank <= 3
+"""
+
+
+@_query("op13_hard_negatives", OP13_SQL)
+def _(spark, sf):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, label=label)
+
+
 @_query("pipeline")
 def _(spark, sf):
     import corpus_pipeline
