@@ -98,6 +98,8 @@ class Slice:
 
     def seed(self, anchor: np.ndarray, own: int, k: int) -> float:
         """A score that ``k`` other rows reach for sure, from the ends of the first focus list."""
+        if not anchor.any():
+            return 0.0 if len(self.ids) > k else -np.inf
         c = int(np.abs(anchor).argmax())
         ends = self.lists[-_SEED:, c] if anchor[c] >= 0 else self.lists[:_SEED, c]
         ends = ends[self.ids[ends] != own]
@@ -135,7 +137,8 @@ def _search(asked: DataFrame, stored: DataFrame, each, schema: str) -> DataFrame
     def run(anchors: pa.Table, rows: pa.Table) -> pa.Table:
         out = []
         if anchors.num_rows and rows.num_rows:
-            vectors = rows["vector"].combine_chunks().flatten().to_numpy().reshape(rows.num_rows, -1)
+            values = rows["vector"].combine_chunks().flatten().to_numpy()
+            vectors = values.reshape(rows.num_rows, len(values) // rows.num_rows)
             block = Slice(rows["vec_id"].to_numpy(), vectors)
             for r in anchors.to_pylist():
                 out.extend(each(block, r))
