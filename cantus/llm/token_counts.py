@@ -1,9 +1,10 @@
 """Token counts under a unigram vocabulary, by dynamic programming on a trie of pre-tokens.
 
 Every word, with the word mark before it, is a pre-token.  A task inserts the distinct pre-tokens of
-its texts in a trie.  A node is a prefix and holds its forward score: the best sum of piece scores
-over all ways to cut it; it is computed once, from nodes above it, for all pre-tokens that share the
-prefix.  The token count of a pre-token is stored where it ends.  No shuffle; the trie is bounded.
+a run of texts in a trie.  A node is a prefix and holds its forward score: the best sum of piece
+scores over all ways to cut it; it is computed once, from nodes above it, for all pre-tokens that
+share the prefix.  The token count of a pre-token is stored where it ends and kept, within a bound,
+for the texts to come.  No shuffle.
 """
 
 from __future__ import annotations
@@ -34,53 +35,79 @@ def zipf_scores(model_file: str) -> dict[str, float]:
 
 
 class Trie:
-    """Forward scores by prefix; a character without a piece costs one token per UTF-8 byte."""
+    """Token counts of words, by forward scores along the trie of the words at hand.
 
-    def __init__(self, scores: dict[str, float], most_nodes: int = 1_000_000):
-        self.scores, self.most = scores, most_nodes
-        self.longest = max(map(len, scores), default=1)
-        self.byte = min(scores.values(), default=0.0) - 5.0
-        self.clear()
+    Words are inserted in order, so the trie is walked depth first and only the path to the last word
+    is held: per prefix its forward score, its tokens and the pieces that may still end below it.
+    The next word goes on from the prefix it shares.  A character without a piece costs one token per
+    UTF-8 byte.  Finished counts lie in two generations of about ``most_nodes`` terminals each: a word
+    in use moves to the younger one, and the older is dropped when the younger is full.
+    """
 
-    def clear(self):
-        self.child: dict[tuple[int, str], int] = {}
-        self.score, self.tokens = [0.0], [0]
+    def __init__(self, scores: dict[str, float], most_nodes: int = 400_000):
+        self.most = most_nodes
+        self.byte = min(scores.values(), default=0.0) - 5.0
+        self.step: list[dict[str, int]] = [{}]  # the trie of the pieces: characters to the next state
+        self.ends: list[float | None] = [None]
+        for piece, score in scores.items():
+            at = 0
+            for char in piece:
+                if char not in self.step[at]:
+                    self.step[at][char] = len(self.step)
+                    self.step.append({})
+                    self.ends.append(None)
+                at = self.step[at][char]
+            self.ends[at] = score
         self.n_tokens: dict[bytes, int] = {}
         self.log_prob: dict[bytes, float] = {}
-
-    def _node(self, text: str, depth: int, path: list[int]) -> int:
-        """A new node for ``text[:depth]`` below ``path`` (its nodes from the root on)."""
-        last = len(text[depth - 1].encode())
-        best, count = self.score[path[-1]] + last * self.byte, self.tokens[path[-1]] + last
-        for start in range(max(0, depth - self.longest), depth):
-            piece = self.scores.get(text[start:depth])
-            if piece is not None:
-                s, n = self.score[path[start]] + piece, self.tokens[path[start]] + 1
-                if s > best or (s == best and n < count):
-                    best, count = s, n
-        self.score.append(best)
-        self.tokens.append(count)
-        return len(self.score) - 1
-
-    def insert(self, word: bytes):
-        text = MARK + word.decode()
-        path = [0]
-        for depth, char in enumerate(text, 1):
-            key = (path[-1], char)
-            node = self.child.get(key)
-            if node is None:
-                node = self.child[key] = self._node(text, depth, path)
-            path.append(node)
-        self.n_tokens[word] = self.tokens[path[-1]]
-        self.log_prob[word] = self.score[path[-1]]
+        self.older: tuple[dict, dict] = ({}, {})
 
     def insert_all(self, words):
-        new = set(words) - self.n_tokens.keys()
-        if len(self.score) + 4 * len(new) > self.most:
-            self.clear()
-            new = set(words)
-        for w in sorted(new):
-            self.insert(w)
+        """Counts of all ``words`` are known afterwards, at least until the next call."""
+        if len(self.n_tokens) > self.most:
+            self.older = (self.n_tokens, self.log_prob)
+            self.n_tokens, self.log_prob = {}, {}
+        new, (n_old, p_old) = [], self.older
+        for w in set(words) - self.n_tokens.keys():
+            if w in n_old:
+                self.n_tokens[w], self.log_prob[w] = n_old[w], p_old[w]
+            else:
+                new.append(w)
+        self._walk(sorted(new))
+
+    def forget_long(self, words, most_bytes: int = 64):
+        """Long words seldom come again; they are not held."""
+        for w in words:
+            if len(w) > most_bytes:
+                self.n_tokens.pop(w, None)
+                self.log_prob.pop(w, None)
+
+    def _walk(self, words):
+        step, ends, byte = self.step, self.ends, self.byte
+        score, tokens, open_pieces, last = [0.0], [0], [[]], ""
+        for word in words:
+            text = MARK + word.decode("utf-8", "replace")
+            depth, most = 0, min(len(text), len(last))
+            while depth < most and text[depth] == last[depth]:
+                depth += 1
+            del score[depth + 1 :], tokens[depth + 1 :], open_pieces[depth + 1 :]
+            for char in text[depth:]:
+                n_bytes = 1 if char < "\x80" else len(char.encode("utf-8", "replace"))
+                best, count, going = score[-1] + n_bytes * byte, tokens[-1] + n_bytes, []
+                for start, at in [*open_pieces[-1], (len(score) - 1, 0)]:
+                    at = step[at].get(char)
+                    if at is None:
+                        continue
+                    going.append((start, at))
+                    piece = ends[at]
+                    if piece is not None:
+                        s, n = score[start] + piece, tokens[start] + 1
+                        if s > best or (s == best and n < count):
+                            best, count = s, n
+                score.append(best)
+                tokens.append(count)
+                open_pieces.append(going)
+            self.n_tokens[word], self.log_prob[word], last = tokens[-1], score[-1], text
 
 
 def token_counts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -96,10 +123,12 @@ def token_counts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_
         trie = _LOADED[model_file]
         for rows in slices(batches):
             words = [t.split() for t in rows.column(1).to_pylist()]
-            trie.insert_all([w for own in words for w in own])
+            every = set().union(*words)
+            trie.insert_all(every)
             n = [sum(map(trie.n_tokens.__getitem__, own)) for own in words]
             score = [math.fsum(map(trie.log_prob.__getitem__, own)) for own in words]
             cols = [rows.column(0), pa.array([len(own) for own in words], pa.int64()), pa.array(n, pa.int64()), pa.array(score, pa.float64())]
+            trie.forget_long(every)
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_pretokens", "n_tokens", "log_prob"])
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_pretokens long, n_tokens long, log_prob double")

@@ -387,6 +387,19 @@ def test_trie_forgets_and_still_counts_right():
         assert {w: small.n_tokens[w] for w in words} == {w: large.n_tokens[w] for w in words}
 
 
+def test_long_texts_and_words_count_like_their_parts(spark):
+    """A text of 2 MB, among words of which one has 3,000 letters, holds what its words hold."""
+    file = public_tokenizers.path("piece_bpe_32k.model")
+    rng = np.random.default_rng(8)
+    parts = ["".join(rng.choice(list("abcdeé日"), rng.integers(1, 9))) for _ in range(4_000)] + ["ab" * 1_500]
+    rows = [(i, p) for i, p in enumerate(parts)] + [(-1, " ".join(parts * 60))]
+    got = by_id(token_counts.token_counts(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), file))
+    whole = got.pop(-1)
+    assert whole.n_pretokens == 60 * len(parts)
+    assert whole.n_tokens == 60 * sum(r.n_tokens for r in got.values())
+    assert math.isclose(whole.log_prob, 60 * math.fsum(r.log_prob for r in got.values()), rel_tol=1e-9)
+
+
 def test_quality_scores(spark, sf):
     docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     odd = spark.createDataFrame([(-1, None, "xx"), (-2, "", "xx"), (None, "junk | junk |", "xx")], "doc_id long, text string, features string")
