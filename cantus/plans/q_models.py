@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from ..operators import evaluate as E
 from ..operators import modeling as L
 from ..operators import mood as M
+from ..operators import networks as N
 from ..operators import ranking as K
 from ..operators import recommend as R
 from . import standins as S
 from .q_recommend import REQUESTS, stored_catalog
-from .registry import query
+from .registry import ORACLES, query
 
 FEATURES = ["energy", "valence", "danceability", "acousticness", "tempo"]
 CLASSES = [0, 1, 2, 3]
@@ -130,3 +131,29 @@ def recommend_with_model(spark, sf):
     return out.select("request_id", "rank", "track_id", "predicted_mood", "recommendation_score")
 
 
+@query(
+    "network_regressor",
+    f"""WITH w AS (SELECT target_score FROM ({ORACLES["weak_supervision"]}) x), n AS (SELECT count(*) AS n, round(avg(target_score), 4) AS mean_target FROM w)
+    SELECT hidden, part, CASE part WHEN 'unseen' THEN CAST(floor(n * 0.2) AS BIGINT) ELSE n - CAST(floor(n * 0.2) AS BIGINT) END AS rows, mean_target, TRUE AS below_floor, TRUE AS in_unit
+    FROM n, (VALUES ('64-32'), ('128-64')) h(hidden), (VALUES ('seen'), ('unseen')) p(part)""",
+)
+def network_regressor(spark, sf):
+    """Both layer sizes of the grid, trained in the same passes; errors stay below half the spread of the target."""
+    data = K.fold_column(_training(spark, sf), ["row_key"], 5).persist()
+    try:
+        specs = [N.Spec(hidden, without=0) for hidden in N.NETWORK_GRID["hidden"]]
+        nets = N.fit_networks(data, list(L.MODEL_INPUTS), "target_score", specs, ["row_key"], "fold", rounds=30)
+        stats = data.agg(F.avg("target_score").alias("mean"), F.stddev("target_score").alias("spread")).first()
+        out = None
+        for spec, net in zip(specs, nets):
+            scored = net.transform(data).withColumn("clipped", F.least(F.greatest("prediction", F.lit(0.0)), F.lit(1.0)))
+            one = scored.groupBy(F.when(F.col("fold") == 0, "unseen").otherwise("seen").alias("part")).agg(
+                F.count("*").alias("rows"), F.lit(round(stats["mean"], 4)).alias("mean_target"),
+                (F.sqrt(F.avg((F.col("clipped") - F.col("target_score")) ** 2)) < 0.5 * stats["spread"]).alias("below_floor"),
+                F.bool_and(F.col("clipped").between(0, 1)).alias("in_unit"),
+            )
+            one = one.withColumn("hidden", F.lit("-".join(map(str, spec.hidden))))
+            out = one if out is None else out.unionByName(one)
+        return out.select("hidden", "part", "rows", "mean_target", "below_floor", "in_unit")
+    finally:
+        data.unpersist()
