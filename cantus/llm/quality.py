@@ -8,7 +8,7 @@ documents in every round; only sums of fixed size reach the driver.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from operator import eq
 
 import numpy as np
@@ -78,6 +78,7 @@ class Model:
     mean: np.ndarray
     scale: np.ndarray
     prior: float
+    risks: list[float] = field(default_factory=list)  # of the fit, by round; the last is that of the weights
 
     def score(self, rows: np.ndarray) -> np.ndarray:
         z = np.clip((rows - self.mean) / self.scale @ self.weights, -700, 700)
@@ -121,10 +122,21 @@ def _log_loss(z):
     return np.logaddexp(0, z)  # loss of predicting "positive" for a negative
 
 
-def fit(table: DataFrame, positives: np.ndarray, prior: float, ridge: float = 1e-3, rounds: int = 20) -> Model:
-    """Newton steps on prior * P[l(g)] + max(0, U[l(-g)] - prior * P[l(-g)]) with the logistic loss.
+_MIXES, _STEPS = (0.0, 0.25, 0.5, 0.75, 1.0), tuple(0.5**i for i in range(9))
 
-    While the second part is negative, a step raises it instead (the non-negative correction).
+
+def _shares(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -700, 700)))
+
+
+def fit(table: DataFrame, positives: np.ndarray, prior: float, ridge: float = 1e-3, rounds: int = 20, tolerance: float = 1e-6) -> Model:
+    """Least prior * P[l(g)] + max(0, U[l(-g)] - prior * P[l(-g)]) + ridge / 2 |w|^2, with the logistic loss l.
+
+    With that loss the risk is the larger of two convex functions: the first term alone, and the
+    unbiased risk.  A round takes slope and curvature of both, and tries Newton steps of either and of
+    mixtures (at the kink neither alone may lead down) at several lengths, all in one pass.  The best
+    one is taken if it lowers the risk by more than ``tolerance`` of itself; else the fit is done.  So
+    the risk never rises; ``Model.risks`` has it by round.
     """
     d = N_FEATURES
     moments = summed(table, lambda x: np.concatenate([[len(x)], x.sum(0), (x * x).sum(0)]), 1 + 2 * d)
@@ -132,33 +144,46 @@ def fit(table: DataFrame, positives: np.ndarray, prior: float, ridge: float = 1e
     mean = moments[1 : 1 + d] / n
     scale = np.sqrt(np.maximum(moments[1 + d :] / n - mean**2, 0))
     mean[0], scale[scale < 1e-6] = 0, 1
-    weights = np.zeros(d)
+    weights, risks = np.zeros(d), []
     if len(positives) and moments[0]:
         own = (positives - mean) / scale
+
+        def risk(w: np.ndarray, unlabelled: np.ndarray) -> np.ndarray:
+            """Per column of ``w``, from the mean unlabelled losses."""
+            z = own @ w
+            first = prior * _log_loss(-z).mean(0)
+            return first + np.maximum(0, unlabelled - prior * _log_loss(z).mean(0)) + ridge / 2 * (w**2).sum(0)
+
+        def losses(w: np.ndarray) -> np.ndarray:
+            return summed(table, lambda x: _log_loss((x - mean) / scale @ w).sum(0), w.shape[1]) / n
+
+        risks.append(float(risk(weights[:, None], np.array([np.log(2)]))[0]))
         for _ in range(rounds):
 
-            def unlabelled(x, w=weights):
+            def slopes(x, w=weights):
                 x = (x - mean) / scale
-                z = x @ w
-                p = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
-                return np.concatenate([[_log_loss(z).sum()], x.T @ p, (x.T @ (x * (p * (1 - p))[:, None])).ravel()])
-
-            sums = summed(table, unlabelled, 1 + d + d * d) / n
-            z = own @ weights
-            p = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
-            rest = sums[0] - prior * _log_loss(z).mean()
-            slope_rest = sums[1 : 1 + d] - prior * (own * p[:, None]).mean(0)
-            curve = sums[1 + d :].reshape(d, d) + ridge * np.eye(d)
-            if rest >= 0:
-                slope = slope_rest + prior * (own * (p - 1)[:, None]).mean(0) + ridge * weights
-            else:
-                slope = -slope_rest
-            step = np.linalg.solve(curve + 1e-6 * np.eye(d), slope)
-            step *= min(1.0, 4.0 / max(np.abs(step).max(), 1e-12))
-            weights = weights - step
-            if np.abs(step).max() < 1e-3:
+                p = _shares(x @ w)
+                return np.concatenate([x.T @ p, (x.T @ (x * (p * (1 - p))[:, None])).ravel()])
+
+            sums = summed(table, slopes, d + d * d) / n
+            p = _shares(own @ weights)
+            first = prior * (own * (p - 1)[:, None]).mean(0) + ridge * weights
+            unbiased = sums[:d] - prior * own.mean(0) + ridge * weights
+            curve_first = prior * own.T @ (own * (p * (1 - p))[:, None]) / len(own)
+            curve = sums[d:].reshape(d, d)
+            tried = []
+            for mix in _MIXES:
+                step = np.linalg.solve(mix * curve_first + (1 - mix) * curve + (ridge + 1e-6) * np.eye(d), mix * first + (1 - mix) * unbiased)
+                step *= min(1.0, 8.0 / max(np.abs(step).max(), 1e-12))
+                tried += [weights - t * step for t in _STEPS]
+            tried = np.array(tried).T
+            found = risk(tried, losses(tried))
+            best = int(found.argmin())
+            if not found[best] < risks[-1] * (1 - tolerance):
                 break
-    return Model(weights, mean, scale, prior)
+            weights = tried[:, best]
+            risks.append(float(found[best]))
+    return Model(weights, mean, scale, prior, risks)
 
 
 def train(

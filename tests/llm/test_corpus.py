@@ -418,3 +418,33 @@ def test_quality_without_labels_or_rows(spark, docs, empty):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert {r.score for r in quality.quality_scores(docs, none).collect()} == {0.5}
     assert quality.quality_scores(empty, none).count() == 0
+
+
+def test_quality_fit_ends_at_the_least_risk(spark, sf):
+    """The risk never rises, and no plain descent from the weights found lowers it."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    rows = quality.feature_table(docs).toPandas().merge(labels.toPandas(), on="doc_id", how="left")
+    x = np.stack(rows.features.to_numpy()).astype(float)
+    positives = x[(rows.quality == 1).to_numpy()]
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "doc_id long, features array<float>").repartition(3)
+    model = quality.fit(table, positives, 0.8, rounds=60)
+    assert all(b < a for a, b in zip(model.risks, model.risks[1:])) and len(model.risks) > 3
+
+    every, own = (x - model.mean) / model.scale, (positives - model.mean) / model.scale
+
+    def risk(w):
+        unlabelled, trusted = np.logaddexp(0, every @ w).mean(), np.logaddexp(0, own @ w).mean()
+        return 0.8 * np.logaddexp(0, -own @ w).mean() + max(0, unlabelled - 0.8 * trusted) + 5e-4 * w @ w
+
+    assert math.isclose(risk(model.weights), model.risks[-1], rel_tol=1e-4)
+    least, w, rng = risk(model.weights), model.weights, np.random.default_rng(0)
+    for _ in range(3_000):  # plain random descent
+        step = w + rng.normal(size=len(w)) * rng.choice([0.003, 0.03, 0.3])
+        if risk(step) < least:
+            least, w = risk(step), step
+    assert least > 0.9 * model.risks[-1]
+    # as good as always saying 1, at least
+    scores = model.score(x)
+    known = rows.quality.notna().to_numpy()
+    assert ((scores >= 0.5) == (rows.quality == 1).to_numpy())[known].mean() >= (rows.quality == 1)[known].mean()
