@@ -147,7 +147,8 @@ def contamination(
     marked = written(_marked(docs, spans.select("fp"), list(lengths), map_cells(n_prints), window, gram, id_col, text_col), "marked")
     salted = spans.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     asked = marked.where("length > 0").withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(salts)))
-    hits = asked.join(salted, ["salt", "length", "fp", "span"]).select("row", "item_id", F.struct("at", (F.col("at") + F.col("length")).alias("end")).alias("place"))
+    # the planner would size the items' windows without their repeats, and might broadcast them
+    hits = asked.join(salted.hint("shuffle_merge"), ["salt", "length", "fp", "span"]).select("row", "item_id", F.struct("at", (F.col("at") + F.col("length")).alias("end")).alias("place"))
     found = hits.groupBy("row").agg(F.array_sort(F.collect_set("place")).alias("places"), F.array_sort(F.collect_set("item_id")).alias("item_ids"))
     # places sorted by their begin: a place joins the run before it or begins the next
     run = "struct<start:int,end:int>"
