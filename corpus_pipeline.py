@@ -19,6 +19,13 @@ def _sized(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
 
 
+def _with_own_columns(docs: DataFrame, operate) -> DataFrame:
+    """``operate`` on id and text, the other columns out of its way under names that no operator uses."""
+    own = {c: f"__own{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    out = operate(docs.withColumnsRenamed(own))
+    return _sized(out.select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns]))
+
+
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go; the others stay as they are."""
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
@@ -26,7 +33,7 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Runs of two or more lines that occur earlier are cut from the texts; documents stay."""
-    return _sized(line_dedup.line_run_dedup(docs).select(docs.columns))
+    return _with_own_columns(docs, line_dedup.line_run_dedup)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +45,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_repeated_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words covered by an earlier window of 20 words are cut from the texts; documents stay."""
-    return _sized(substring_dedup.substring_dedup(docs, window=20).select(docs.columns))
+    return _with_own_columns(docs, lambda d: substring_dedup.substring_dedup(d, window=20))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
