@@ -122,7 +122,7 @@ def _log_loss(z):
     return np.logaddexp(0, z)  # loss of predicting "positive" for a negative
 
 
-_MIXES, _STEPS = (0.0, 0.25, 0.5, 0.75, 1.0), tuple(0.5**i for i in range(9))
+_SOFT, _STEPS = (1.0, 0.1, 0.01, 0.001, 0.0001), tuple(0.5**i for i in range(9))
 
 
 def _shares(z: np.ndarray) -> np.ndarray:
@@ -133,10 +133,10 @@ def fit(table: DataFrame, positives: np.ndarray, prior: float, ridge: float = 1e
     """Least prior * P[l(g)] + max(0, U[l(-g)] - prior * P[l(-g)]) + ridge / 2 |w|^2, with the logistic loss l.
 
     With that loss the risk is the larger of two convex functions: the first term alone, and the
-    unbiased risk.  A round takes slope and curvature of both, and tries Newton steps of either and of
-    mixtures (at the kink neither alone may lead down) at several lengths, all in one pass.  The best
-    one is taken if it lowers the risk by more than ``tolerance`` of itself; else the fit is done.  So
-    the risk never rises; ``Model.risks`` has it by round.
+    unbiased risk.  A round takes slope and curvature of both and tries Newton steps of their soft
+    maximum, from soft to hard (at the kink neither function alone leads down), at several lengths,
+    all in one pass.  The best one is taken if it lowers the risk by more than ``tolerance`` of
+    itself; else the fit is done.  So the risk never rises; ``Model.risks`` has it by round.
     """
     d = N_FEATURES
     moments = summed(table, lambda x: np.concatenate([[len(x)], x.sum(0), (x * x).sum(0)]), 1 + 2 * d)
@@ -148,16 +148,17 @@ def fit(table: DataFrame, positives: np.ndarray, prior: float, ridge: float = 1e
     if len(positives) and moments[0]:
         own = (positives - mean) / scale
 
-        def risk(w: np.ndarray, unlabelled: np.ndarray) -> np.ndarray:
-            """Per column of ``w``, from the mean unlabelled losses."""
+        def risk(w: np.ndarray, unlabelled: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Per column of ``w``, from the mean unlabelled losses; and how far the unbiased risk exceeds the first term."""
             z = own @ w
-            first = prior * _log_loss(-z).mean(0)
-            return first + np.maximum(0, unlabelled - prior * _log_loss(z).mean(0)) + ridge / 2 * (w**2).sum(0)
+            more = unlabelled - prior * _log_loss(z).mean(0)
+            return prior * _log_loss(-z).mean(0) + np.maximum(0, more) + ridge / 2 * (w**2).sum(0), more
 
         def losses(w: np.ndarray) -> np.ndarray:
             return summed(table, lambda x: _log_loss((x - mean) / scale @ w).sum(0), w.shape[1]) / n
 
-        risks.append(float(risk(weights[:, None], np.array([np.log(2)]))[0]))
+        found, gaps = risk(weights[:, None], np.array([np.log(2)]))
+        risks, gap = [float(found[0])], float(gaps[0])
         for _ in range(rounds):
 
             def slopes(x, w=weights):
@@ -172,17 +173,20 @@ def fit(table: DataFrame, positives: np.ndarray, prior: float, ridge: float = 1e
             curve_first = prior * own.T @ (own * (p * (1 - p))[:, None]) / len(own)
             curve = sums[d:].reshape(d, d)
             tried = []
-            for mix in _MIXES:
-                step = np.linalg.solve(mix * curve_first + (1 - mix) * curve + (ridge + 1e-6) * np.eye(d), mix * first + (1 - mix) * unbiased)
+            for soft in _SOFT:
+                mix = float(_shares(-gap / soft))  # the first function's part in the soft maximum
+                bend = mix * (1 - mix) / soft * np.outer(first - unbiased, first - unbiased)
+                step = np.linalg.solve(mix * curve_first + (1 - mix) * curve + bend + (ridge + 1e-6) * np.eye(d), mix * first + (1 - mix) * unbiased)
                 step *= min(1.0, 8.0 / max(np.abs(step).max(), 1e-12))
                 tried += [weights - t * step for t in _STEPS]
             tried = np.array(tried).T
-            found = risk(tried, losses(tried))
+            found, gaps = risk(tried, losses(tried))
             best = int(found.argmin())
             if not found[best] < risks[-1] * (1 - tolerance):
                 break
             weights = tried[:, best]
             risks.append(float(found[best]))
+            gap = float(gaps[best])
     return Model(weights, mean, scale, prior, risks)
 
 
