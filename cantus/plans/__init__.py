@@ -4,7 +4,7 @@ from importlib import import_module
 
 from .registry import ORACLES, QUERIES
 
-MODULES = ("q_layers", "q_profile", "q_prepare", "q_text", "q_joins", "q_mood", "q_recommend", "q_models", "q_sources", "q_lifecycle")
+MODULES = ("q_layers", "q_profile", "q_prepare", "q_text", "q_joins", "q_mood", "q_recommend", "q_models", "q_sources", "q_lifecycle", "q_commits")
 for _name in MODULES:
     import_module(f"{__name__}.{_name}")
 

@@ -4,6 +4,8 @@ by itself, resumes where it stopped, and its file sinks are exactly-once."""
 from __future__ import annotations
 
 import hashlib
+import time
+from collections import Counter
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import parse as P
+from ..sources import commits as CM
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", max_files: int | None = None) -> DataFrame:
@@ -70,6 +73,81 @@ def ingest(events: DataFrame, bronze: str, checkpoint: str, timeout: int | None
     run(writer.partitionBy("dataset"), timeout)
 
 
+class _Enough(Exception):
+    """The rows that were expected are there; the batch that came after them is left for a resume."""
+
+
+def _query_id(spark: SparkSession) -> str:
+    """The stream's own id: kept in its checkpoint, so a resumed job has it again."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
+def consume(events: DataFrame, bronze: str, checkpoint: str, expected: dict[str, int] | None = None, timeout: float | None = None) -> dict:
+    """Route payloads to Bronze as ``ingest`` does, until every dataset has the rows it is expected to.
+
+    Returns ``reason`` (``counts``, ``timeout`` or ``end``: the input is used up) and the ``counts`` of
+    this run by dataset, events without a dataset or payload under ``rejected``.  Counts are looked at
+    after each batch; the batch after the last one needed is not begun.  The rest comes with the next
+    run on the same checkpoint.  A batch writes a folder of its own by overwrite, so none counts twice.
+    """
+    event = F.col("value").cast("string")
+    dataset, payload = F.get_json_object(event, "$.dataset"), F.get_json_object(event, "$.payload")
+    good = dataset.isNotNull() & payload.isNotNull()
+    routed = events.select(
+        F.when(good, payload).otherwise(F.coalesce(event, F.lit(""))).alias("value"), F.when(good, dataset).otherwise(REJECTED).alias("dataset")
+    )
+    counts: Counter = Counter()
+    met = lambda: bool(expected) and all(counts[d] >= n for d, n in expected.items())
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        if met():
+            raise _Enough
+        kept = batch.persist()
+        try:
+            folder = f"{bronze}/run={_query_id(batch.sparkSession)}/batch={batch_id}"
+            kept.write.mode("overwrite").partitionBy("dataset").text(folder)
+            counts.update({r["dataset"]: r["count"] for r in kept.groupBy("dataset").count().collect()})  # one row per dataset
+        finally:
+            kept.unpersist()
+
+    query = routed.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    reason, until = "end", None if timeout is None else time.monotonic() + timeout
+    try:
+        while not query.awaitTermination(1):
+            if until is not None and time.monotonic() >= until:
+                query.stop()
+                reason = "timeout"
+                break
+    except Exception:
+        if not met():
+            raise
+        reason = "counts"
+    return {"reason": "counts" if met() else reason, "counts": dict(counts)}
+
+
+def classify_and_append(stream: DataFrame, classify: Callable[[DataFrame], DataFrame], catalog: str, history: str, checkpoint: str,
+                        timeout: int | None = None) -> None:
+    """Classify each micro-batch; rows go to the catalog, by its columns, and whole to the history.
+
+    Every batch is one commit in the log of either table, named by the stream's id and the batch: one
+    that is tried again, after whatever failure, adds nothing twice.
+    """
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        CM.append_classified_once(classify(batch), catalog, history, f"{_query_id(batch.sparkSession)}-{batch_id:08d}")
+
+    run(stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint), timeout)
+
+
+def deduplicated_within(stream: DataFrame, key: list[str], event_time: str, delay: str) -> DataFrame:
+    """First occurrence per key among rows at most ``delay`` apart in event time.
+
+    Keys leave the state once the watermark has passed them by ``delay``, so it holds the keys of a
+    span of time, not of the whole stream.
+    """
+    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(key)
+
+
 def copy_stream(stream: DataFrame, path: str, checkpoint: str, timeout: int | None = None, partition_by: list[str] = ()) -> None:
     writer = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint).option("path", path)
     run(writer.partitionBy(*partition_by) if partition_by else writer, timeout)
