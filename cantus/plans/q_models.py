@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import evaluate as E
+from ..operators import forests as W
 from ..operators import modeling as L
 from ..operators import mood as M
 from ..operators import networks as N
@@ -157,3 +158,30 @@ def network_regressor(spark, sf):
         return out.select("hidden", "part", "rows", "mean_target", "below_floor", "in_unit")
     finally:
         data.unpersist()
+
+
+_LABEL_SQL = f"""SELECT CASE WHEN row_id % 20 = 0 THEN label WHEN valence + energy > 1.2 THEN 2 WHEN valence > 0.6 THEN 1 WHEN acousticness > 0.5 THEN 3 ELSE 0 END AS label FROM ({S.FEATURES_SQL}) f"""
+
+
+@query(
+    "balanced_forest",
+    f"""SELECT label, CAST(floor(0.8 * count(*)) AS BIGINT) AS train_rows, count(*) - CAST(floor(0.8 * count(*)) AS BIGINT) AS test_rows, 200 AS bags, TRUE AS bags_balanced, TRUE AS above_floor
+    FROM ({_LABEL_SQL}) l GROUP BY label""",
+)
+def balanced_forest(spark, sf):
+    """200 bags of depth 10, balanced each by itself: classes weigh alike in every bag.
+
+    Weighted F1 stays above 0.9, macro F1 above 0.65: the smallest of the four classes is noise.
+    """
+    data = K.stratified_split(labelled(spark, sf), "label", CLASSES, ["row_id"]).persist()
+    try:
+        train, test = data.filter("is_train"), data.filter("not is_train")
+        forest = W.fit_forest(train, FEATURES, "label", CLASSES, ["row_id"], n_trees=200, max_depth=10)
+        weights = W.bag_weights(forest, W.training_rows(train, FEATURES, "label", CLASSES, ["row_id"]))
+        per_bag = weights.groupBy("bag").agg(F.max("weight").alias("most"), F.min("weight").alias("least"), F.count("*").alias("n"))
+        even = per_bag.agg(F.count("*").alias("bags"), F.bool_and((F.col("most") - F.col("least") < 1e-6 * F.col("most")) & (F.col("n") == len(CLASSES))).alias("ok")).first()
+        told = E.summary_report(forest.transform(test), "label", "prediction", CLASSES).first()
+        sizes = data.groupBy("label").agg(F.count_if("is_train").alias("train_rows"), F.count_if(~F.col("is_train")).alias("test_rows"))
+        return sizes.withColumns({"bags": F.lit(even["bags"]).cast("int"), "bags_balanced": F.lit(even["ok"]), "above_floor": F.lit(told["weighted_f1"] > 0.9 and told["macro_f1"] > 0.65)})
+    finally:
+        data.unpersist()
