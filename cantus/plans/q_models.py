@@ -143,7 +143,7 @@ def network_regressor(spark, sf):
     data = K.fold_column(_training(spark, sf), ["row_key"], 5).persist()
     try:
         specs = [N.Spec(hidden, without=0) for hidden in N.NETWORK_GRID["hidden"]]
-        nets = N.fit_networks(data, list(L.MODEL_INPUTS), "target_score", specs, ["row_key"], "fold", rounds=30)
+        nets = N.fit_networks(data, list(L.MODEL_INPUTS), "target_score", specs, ["row_key"], "fold", rounds=20)
         stats = data.agg(F.avg("target_score").alias("mean"), F.stddev("target_score").alias("spread")).first()
         out = None
         for spec, net in zip(specs, nets):
