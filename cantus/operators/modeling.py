@@ -53,6 +53,12 @@ def modelling_split(train: DataFrame, test: DataFrame, features: list[str], labe
     return marked.filter("is_train").drop("is_train"), marked.filter("not is_train").drop("is_train")
 
 
+def unlisted_classes(df: DataFrame, label: str, classes: list) -> DataFrame:
+    """``label, rows``: rows that a split or fit leaves out because their class is not listed (null included)."""
+    listed = F.coalesce(F.col(label).isin(classes), F.lit(False))
+    return df.filter(~listed).groupBy(F.col(label).alias("label")).agg(F.count("*").alias("rows"))
+
+
 def balanced_weights(df: DataFrame, label: str, classes: list, to: str = "weight") -> DataFrame:
     """n / (classes * n_class) per row, by scalar subquery."""
     counts = df.agg(F.count("*").alias("n"), *[F.count_if(F.col(label) == F.lit(c)).alias(f"c{i}") for i, c in enumerate(classes)])

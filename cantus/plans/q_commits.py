@@ -85,3 +85,26 @@ def stream_dedup_bounded(spark, sf):
     stream = X.deduplicated_within(X.file_stream(spark, f"{base}/in", e.schema, max_files=8), ["event_id"], "ts", "2 days")
     X.copy_stream(stream, f"{base}/out", f"{base}/checkpoint")
     return io.read_layer(spark, f"{base}/out").groupBy("event_type").agg(F.count("*").alias("rows"), F.round(F.sum("value"), 4).alias("total"))
+
+
+@query(
+    "rejected_records",
+    """SELECT 'event' AS kind, event_type AS label, count(*) AS rows FROM events WHERE event_id % 10 = 3 GROUP BY event_type
+    UNION ALL SELECT 'line', event_type, count(*) FROM events WHERE event_id % 7 = 2 GROUP BY event_type
+    UNION ALL SELECT 'class', event_type, count(*) FROM events WHERE event_type NOT IN ('click', 'purchase') GROUP BY event_type""",
+)
+def rejected_records(spark, sf):
+    """Events and lines that do not parse and rows of classes that are not listed, kept and counted."""
+    base = shared_dir(spark, "rejected")
+    e = load(spark, sf, "events").select("event_id", "event_type", "value")
+    whole = F.to_json(F.struct(F.col("event_type").alias("dataset"), F.struct("event_id", "event_type", "value").alias("payload")))
+    wrapped = e.select(F.when(F.col("event_id") % 10 == 3, F.concat(F.lit("broken "), "event_type")).otherwise(whole).alias("value"))
+    events = io.unopened_events(wrapped, e.schema)
+    line = F.to_json(F.struct("event_id", "event_type", "value"))
+    e.select(F.when(F.col("event_id") % 7 == 2, F.concat(F.lit("broken "), "event_type")).otherwise(line).alias("value")).write.text(f"{base}/bronze")
+    lines = io.bad_lines(io.read_bronze(spark, f"{base}/bronze", e.schema))
+    name = F.element_at(F.split("raw", " "), -1).alias("label")
+    out = L.unlisted_classes(e, "event_type", ["click", "purchase"]).select(F.lit("class").alias("kind"), "label", "rows")
+    for kind, raw in (("event", events), ("line", lines)):
+        out = out.unionByName(raw.groupBy(name).agg(F.count("*").alias("rows")).select(F.lit(kind).alias("kind"), "label", "rows"))
+    return out

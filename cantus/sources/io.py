@@ -67,6 +67,14 @@ def open_envelope(events: DataFrame, payload: T.StructType, dataset: str | None
     return kept.select("e.payload.*")
 
 
+def unopened_events(events: DataFrame, payload: T.StructType, value: Column | None = None) -> DataFrame:
+    """What ``open_envelope`` leaves out because it does not parse or has no payload: the events' raw text."""
+    raw = (value if value is not None else F.col("value")).cast("string")
+    schema = T.StructType([T.StructField("dataset", T.StringType()), T.StructField("payload", payload)])
+    parsed = events.select(raw.alias("raw"), F.explode_outer(F.array(F.from_json(raw, schema))).alias("e"))
+    return parsed.filter(F.col("e.payload").isNull()).select("raw")
+
+
 def append_json_lines(df: DataFrame, path: str, clean: bool = False) -> None:
     """Add to the dataset's historical Bronze; ``clean`` replaces it by this run."""
     df.write.mode("overwrite" if clean else "append").json(path)
@@ -82,6 +90,13 @@ def good_lines(bronze: DataFrame) -> DataFrame:
     return bronze.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
+def bad_lines(bronze: DataFrame) -> DataFrame:
+    """The lines that ``good_lines`` leaves out, as they are in the file."""
+    # the JSON reader refuses to read nothing but the corrupt column, so one of the data is asked for too
+    data = next(c for c in bronze.columns if c != CORRUPT)
+    return bronze.filter(F.col(CORRUPT).isNotNull()).select(F.coalesce(F.col(CORRUPT), F.col(f"`{data}`").cast("string")).alias("raw"))
+
+
 def read_layer(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """A Parquet layer; naming the columns keeps long text out of the scan."""
     df = spark.read.parquet(require(spark, path))
