@@ -73,9 +73,13 @@ def mismatch_counts(joined: DataFrame, pairs: dict[str, tuple[str, str]]) -> Dat
     return joined.agg(*[F.count_if(F.col(a) != F.col(b)).alias(name) for name, (a, b) in pairs.items()])
 
 
-def modes(df: DataFrame, features: list[str]) -> DataFrame:
-    """Most frequent value per feature, the smallest on ties.  Counts are combined before the shuffle."""
-    counts = QT.tall(df, features).groupBy("feature", "x").agg(F.count("*").alias("n"))
+def value_counts(df: DataFrame, features: list[str]) -> DataFrame:
+    """``(feature, x, n)``: every distinct value; counts are combined before the shuffle."""
+    return QT.tall(df, features).groupBy("feature", "x").agg(F.count("*").alias("n"))
+
+
+def modes(counts: DataFrame) -> DataFrame:
+    """Most frequent value per feature of :func:`value_counts`, the smallest on ties."""
     return counts.groupBy("feature").agg(F.min_by("x", F.struct((-F.col("n")).alias("n"), F.col("x").alias("v"))).alias("mode"))
 
 
@@ -84,8 +88,10 @@ def describe_numeric(df: DataFrame, features: list[str]) -> DataFrame:
     stats = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     row = df.agg(*[fn(F.col(f).cast("double")).alias(f"{s}|{f}") for s, fn in stats.items() for f in features])
     moments = unpivot_row(row, features, {s: s for s in stats})
-    q = QT.exact_wide(df, features, PERCENTILES).withColumn("median", F.col("p50"))
-    return moments.join(modes(df, features), "feature", "left").join(q, "feature", "left")
+    # modes and ranks use the same shuffled counts
+    counts = value_counts(df, features)
+    q = QT.widen(QT.of_values(counts, list(PERCENTILES.values())), PERCENTILES).withColumn("median", F.col("p50"))
+    return moments.join(modes(counts), "feature", "left").join(q, "feature", "left")
 
 
 def describe_categorical(df: DataFrame, names: list[str]) -> DataFrame:
@@ -157,16 +163,16 @@ def unit_range_report(df: DataFrame, features: list[str]) -> DataFrame:
 def skew_outliers(df: DataFrame, features: list[str]) -> DataFrame:
     """Sample skewness (adjusted), interquartile range and % of rows outside the 1.5 IQR fences."""
     q = QT.exact_wide(df, features, {"q1": 0.25, "q3": 0.75})
-    fences = q.select("feature", "q1", "q3", (F.col("q3") - F.col("q1")).alias("iqr"))
-    x, spread = F.col("x"), 1.5 * F.col("iqr")
-    outside = (x < F.col("q1") - spread) | (x > F.col("q3") + spread)
-    stats = (
-        QT.tall(df, features).join(F.broadcast(fences), "feature")  # one row per feature
-        .groupBy("feature", "iqr")
-        .agg(F.count("*").alias("n"), F.skewness("x").alias("g1"), (F.avg(outside.cast("double")) * 100).alias("outlier_pct"))
-    )
+    spread = 1.5 * (F.col("q3") - F.col("q1"))
+    cell = lambda f: F.max(F.when(F.col("feature") == f, F.struct((F.col("q3") - F.col("q1")).alias("iqr"), (F.col("q1") - spread).alias("lo"), (F.col("q3") + spread).alias("hi"))))
+    fenced = attach(df, q.agg(*[cell(f).alias(f) for f in features]), "_fences")
+    stats = {}
+    for f in features:
+        x, fence = F.col(f).cast("double"), F.col("_fences")[f]
+        stats |= {f"n|{f}": F.count(x), f"g1|{f}": F.skewness(x), f"iqr|{f}": F.max(fence["iqr"]), f"out|{f}": F.avg(((x < fence["lo"]) | (x > fence["hi"])).cast("double")) * 100}
+    row = unpivot_row(fenced.agg(*[c.alias(name) for name, c in stats.items()]), features, {"n": "n", "g1": "g1", "iqr": "iqr", "out": "outlier_pct"})
     n = F.col("n").cast("double")
-    return stats.select("feature", (F.sqrt(n * (n - 1)) / (n - 2) * F.col("g1")).alias("skew"), "outlier_pct", "iqr")
+    return row.filter("n > 0").select("feature", (F.sqrt(n * (n - 1)) / (n - 2) * F.col("g1")).alias("skew"), "outlier_pct", "iqr")
 
 
 def eta_squared(df: DataFrame, features: list[str], target: str) -> DataFrame:

@@ -1,19 +1,24 @@
-"""Exact quantiles of many columns without collecting a column into one task.
+"""Exact quantiles of many columns by radix selection: counts per prefix, never a sort of the values.
 
 ``percentile`` keeps every distinct value of a column in one reducer; that does not scale.
-Here a mergeable sketch brackets each wanted rank, the rows below the bracket are counted, and
-only the values inside the bracket (a few 1/accuracy of the rows) are ranked.
+Here a value's order is read off as four digits: exponent (with sign), 12, 20 and 20 bits of the
+mantissa.  One pass counts the first two digits of all columns, a second pass only the values that
+share them with a wanted rank.  Every window is over the digits below one prefix, so it holds at most
+2^20 rows whatever the table's size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.const import sql
 
-ACCURACY = 10_000
+STEP = 12  # bits of the mantissa in the first prefix
+FINE = 1 << 20  # steps below a prefix
+INFINITE, NAN = 1 << 39, 1 << 40
+TARGET = ["feature", "prob", "side"]
 
 
 def tall(df: DataFrame, features: list[str], group: list[str] = ()) -> DataFrame:
@@ -31,50 +36,73 @@ def approximate(df: DataFrame, features: list[str], probs: list[float], relative
     )
 
 
-def exact(df: DataFrame, features: list[str], probs: list[float], accuracy: int = ACCURACY) -> DataFrame:
-    """``(feature, prob, q)`` with linear interpolation between the two nearest ranks."""
-    margin = 4.0 / accuracy
-    lows = sql([max(float(p) - margin, 0.0) for p in probs])
-    highs = sql([min(float(p) + margin, 1.0) for p in probs])
-    summary = (
-        "named_struct('n', count({x}), 'lo', min({x}), 'hi', max({x}), "
-        f"'lows', percentile_approx({{x}}, {lows}, {accuracy}), 'highs', percentile_approx({{x}}, {highs}, {accuracy})) AS `{{f}}`"
-    )
-    sketch = df.agg(*[F.expr(summary.format(x=f"CAST(`{f}` AS DOUBLE)", f=f)) for f in features])
-    # few rows: the whole range is the bracket
-    end = lambda f, whole, part, i: f"IF(`{f}`.n < {2 * accuracy}, `{f}`.{whole}, `{f}`.{part}[{i}])"
-    per_feature = [
-        f"named_struct('feature', {sql(f)}, 'n', `{f}`.n, 'cells', array("
-        + ", ".join(f"named_struct('prob', {float(p)!r}D, 'lo', {end(f, 'lo', 'lows', i)}, 'hi', {end(f, 'hi', 'highs', i)})" for i, p in enumerate(probs))
-        + "))"
-        for f in features
-    ]
-    brackets = sketch.select(F.expr(f"inline(array({', '.join(per_feature)}))"))
-    # one row per feature: a constant-size table
-    near = tall(df, features).join(F.broadcast(brackets), "feature")
-    # below a bracket values are only counted (value NULL); those inside are the few that go on
-    below = near.groupBy("feature", "n").agg(*[F.count_if(F.col("x") < F.col("cells")[i]["lo"]).alias(f"c{i}") for i in range(len(probs))])
-    below = below.select("feature", "n", F.inline(F.array(*[F.struct(F.lit(float(p)).alias("prob"), F.lit(None).cast("double").alias("v"), F.col(f"c{i}").alias("c")) for i, p in enumerate(probs)])))
-    # explode_outer: a plain explode would work out the filter again in a size test
-    hits = F.filter("cells", lambda b: (F.col("x") >= b["lo"]) & (F.col("x") <= b["hi"]))
-    inside = near.select("feature", "n", "x", F.explode_outer(hits).alias("b")).filter("b IS NOT NULL")
-    inside = inside.groupBy("feature", "n", F.col("b.prob").alias("prob"), F.col("x").alias("v")).agg(F.count("*").alias("c"))
-    counted = below.unionByName(inside)
-    order = W.partitionBy("feature", "prob").orderBy(F.col("v").asc_nulls_first())
-    ranked = counted.withColumn("upto", F.sum("c").over(order.rowsBetween(W.unboundedPreceding, 0)))
-    pos = F.col("prob") * (F.col("n") - 1)
-    holds = lambda r: F.col("v").isNotNull() & (r >= F.col("upto") - F.col("c")) & (r < F.col("upto"))
-    picked = ranked.groupBy("feature", "prob", "n").agg(
-        F.max(F.when(holds(F.floor(pos)), F.col("v"))).alias("a"),
-        F.max(F.when(holds(F.ceil(pos)), F.col("v"))).alias("b"),
-    )
-    checked = F.when(
-        F.col("a").isNull() | F.col("b").isNull(), F.raise_error(F.lit("quantile rank outside its bracket")).cast("double")
-    ).otherwise(F.col("a") + (F.col("b") - F.col("a")) * (pos - F.floor(pos)))
-    return picked.select("feature", "prob", checked.alias("q"))
+def _digits(values: DataFrame) -> DataFrame:
+    """Adds ``_k`` (exponent and 12 bits, monotone in x) and ``_s`` (the next 20 bits).
+
+    An exponent that log2 rounds to its neighbour gives the same ``_k``: one step below an octave's
+    start is the last step of the octave before.  Infinities and NaN (above all numbers) get keys of their own.
+    """
+    size = F.abs("x")
+    power = F.greatest(F.least(F.floor(F.log2(size)), F.lit(1023)), F.lit(-1074)).cast("int")
+    scaled = values.withColumn("_e", power).withColumn("_m", (size / F.pow(F.lit(2.0), F.col("_e")) - 1) * (1 << STEP))
+    key = F.shiftleft(F.col("_e").cast("bigint") + 1075, STEP) + F.floor("_m") + 1
+    sign = F.signum("x").cast("int")
+
+    def special(normal: Column, infinite: int, nan: int) -> Column:
+        out = F.when(F.isnan("x"), F.lit(nan)).when(size == float("inf"), sign * F.lit(infinite)).when(F.col("x") == 0, F.lit(0))
+        # a default keeps the column free of nulls, so that no filter is pushed below the counts
+        return F.coalesce(out.otherwise(sign * normal), F.lit(0)).cast("bigint")
+
+    fine = F.floor((F.col("_m") - F.floor("_m")) * FINE)
+    return scaled.withColumns({"_k": special(key, INFINITE, NAN), "_s": special(fine, 0, 0)}).drop("_e", "_m")
+
+
+def _descend(counts: DataFrame, digit: str) -> DataFrame:
+    """Of the counts per target and digit, the digit that holds the target's rank; the rank is then one inside it."""
+    upto = F.sum("n").over(W.partitionBy(*TARGET).orderBy(digit))
+    found = counts.withColumn("_before", upto - F.col("n"))
+    found = found.filter((F.col("rank") >= F.col("_before")) & (F.col("rank") < F.col("_before") + F.col("n")))
+    return found.withColumn("rank", F.col("rank") - F.col("_before")).drop("_before", "n")
+
 
+def of_values(values: DataFrame, probs: list[float]) -> DataFrame:
+    """``(feature, prob, q)`` from ``(feature, x, n)``: n copies of x, no nulls; a value may come in several rows.
 
-def exact_wide(df: DataFrame, features: list[str], probs: dict[str, float], accuracy: int = ACCURACY) -> DataFrame:
+    The values of a rank's prefix (1/4096 of an octave) are shuffled by distinct value; a column that lies
+    wholly inside one prefix is shuffled whole.  The tables joined back hold a row per feature and rank.
+    """
+    keyed = _digits(values)
+    coarse = keyed.groupBy("feature", "_k").agg(F.sum("n").alias("n")).withColumn("_hi", F.shiftright("_k", STEP))
+    octaves = coarse.groupBy("feature", "_hi").agg(F.sum("n").alias("n"))
+    octaves = octaves.withColumn("total", F.sum("n").over(W.partitionBy("feature")))
+    wanted = F.expr("inline(array(" + ", ".join(f"named_struct('prob', {float(p)!r}D, 'side', {i})" for p in probs for i in (0, 1)) + "))")
+    at = octaves.select("*", wanted).withColumn("pos", F.col("prob") * (F.col("total") - 1)).drop("total")
+    at = _descend(at.withColumn("rank", F.when(F.col("side") == 0, F.floor("pos")).otherwise(F.ceil("pos"))), "_hi")
+    at = _descend(coarse.join(F.broadcast(at), ["feature", "_hi"]), "_k").drop("_hi")
+    near = keyed.join(F.broadcast(at.select("feature", "_k")), ["feature", "_k"], "left_semi")
+    near = near.groupBy("feature", "_k", "_s", "x").agg(F.sum("n").alias("n"))
+    steps = near.groupBy("feature", "_k", "_s").agg(F.sum("n").alias("n"))
+    at = _descend(steps.join(F.broadcast(at), ["feature", "_k"]), "_s")
+    at = _descend(near.join(F.broadcast(at), ["feature", "_k", "_s"]), "x")
+    side = lambda i: F.max(F.when(F.col("side") == i, F.col("x")))
+    both = at.groupBy("feature", "prob").agg(side(0).alias("a"), side(1).alias("b"), F.max(F.col("pos") - F.floor("pos")).alias("part"))
+    # equal neighbours need no step between them (and infinite ones allow none)
+    between = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(F.col("a") + (F.col("b") - F.col("a")) * F.col("part"))
+    return both.select("feature", "prob", between.alias("q"))
+
+
+def exact(df: DataFrame, features: list[str], probs: list[float]) -> DataFrame:
+    """``(feature, prob, q)`` with linear interpolation between the two nearest ranks; two scans.
+
+    Nulls are left out, a column without values gives no row; NaN is above all numbers.
+    """
+    return of_values(tall(df, features).withColumn("n", F.lit(1).cast("bigint")), probs)
+
+
+def widen(q: DataFrame, probs: dict[str, float]) -> DataFrame:
     """``(feature, <name> ...)``: one column per named probability."""
-    q = exact(df, features, list(probs.values()), accuracy)
     return q.groupBy("feature").agg(*[F.max(F.when(F.col("prob") == float(p), F.col("q"))).alias(n) for n, p in probs.items()])
+
+
+def exact_wide(df: DataFrame, features: list[str], probs: dict[str, float]) -> DataFrame:
+    return widen(exact(df, features, list(probs.values())), probs)
