@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import joins as J
 from ..operators import metadata as D
 from ..operators import neighbours as NB
+from ..session import shared_dir
+from ..sources import footers as FT
 from . import standins as S
 from .registry import load, query, rounded
 
@@ -158,9 +161,82 @@ def file_stats(spark, sf):
     return found.select("file_name", "row_count", (F.col("size_bytes") > F.col("row_count")).alias("has_bytes"), (F.col("blocks") >= 1).alias("has_blocks"))
 
 
-@query("dataset_summary", "SELECT count(*) AS row_count, 11 AS column_count FROM lineitem")
+LINE_TYPES = {
+    "l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int", "l_quantity": "double", "l_extendedprice": "double",
+    "l_discount": "double", "l_tax": "double", "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp_ntz",
+}
+_SCHEMA_OF_LINES = ", ".join(f'{{"name": "{c}", "type": "{t}"}}' for c, t in LINE_TYPES.items())
+
+
+@query(
+    "dataset_summary",
+    f"""SELECT count(*) AS row_count, CAST(1 AS BIGINT) AS file_count, true AS has_bytes, 'lineitem.parquet' AS first_file, 11 AS column_count,
+      md5('[{_SCHEMA_OF_LINES}]') AS schema_hash FROM lineitem""",
+)
 def dataset_summary(spark, sf):
-    return D.dataset_summary(load(spark, sf, "lineitem")).select("row_count", "column_count")
+    """Bytes depend on the writer; SQL can only say that there are some."""
+    found = D.dataset_summary(load(spark, sf, "lineitem"))
+    return found.select("row_count", "file_count", (F.col("size_bytes") > F.col("row_count")).alias("has_bytes"), "first_file", "column_count", "schema_hash")
+
+
+_FOOTER_TABLES = ("orders", "lineitem", "documents")
+
+
+def footers(spark, sf) -> DataFrame:
+    """Footers of the tables as given and, in several files of several row groups, of a copy of orders with nulls."""
+    copy = shared_dir(spark, "row-groups")
+    gapped = load(spark, sf, "orders").withColumn("gap", F.expr("IF(o_orderkey % 3 = 0, NULL, o_totalprice)"))
+    gapped.repartition(4, "o_orderkey").write.option("parquet.block.size", 64 * 1024).parquet(copy)
+    found = FT.column_chunks(spark, copy).withColumn("dataset", F.lit("copy"))
+    for name in _FOOTER_TABLES:
+        found = found.unionByName(FT.column_chunks(spark, f"{sf}/{name}.parquet").withColumn("dataset", F.lit(name)))
+    return found
+
+
+def _nulls_sql(dataset: str, table: str, columns: dict[str, str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{dataset}' AS dataset, '{c}' AS column_name, count(*) AS row_count, count(*) - count({x}) AS null_count FROM {table}" for c, x in columns.items())
+
+
+_ORDER_COLUMNS = {c: c for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")}
+_FOOTER_SQL = " UNION ALL ".join(
+    [
+        _nulls_sql("copy", "orders", {**_ORDER_COLUMNS, "gap": "CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_totalprice END"}),
+        _nulls_sql("orders", "orders", _ORDER_COLUMNS),
+        _nulls_sql("lineitem", "lineitem", {c: c for c in LINE_TYPES}),
+        _nulls_sql("documents", "documents", {c: c for c in ("doc_id", "text", "lang", "source", "n_chars")}),
+    ]
+)
+
+
+@query("footer_columns", _FOOTER_SQL)
+def footer_columns(spark, sf):
+    """Rows and nulls per column, summed over the row groups' footers."""
+    chunks = footers(spark, sf)
+    out = None
+    for name in ("copy", *_FOOTER_TABLES):
+        one = FT.column_totals(chunks.filter(F.col("dataset") == name)).select(F.lit(name).alias("dataset"), "column_name", "row_count", "null_count")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query(
+    "footer_row_groups",
+    """SELECT 'copy' AS dataset, count(*) AS row_count, true AS agree, true AS has_bytes FROM orders UNION ALL SELECT 'orders', count(*), true, true FROM orders
+      UNION ALL SELECT 'lineitem', count(*), true, true FROM lineitem UNION ALL SELECT 'documents', count(*), true, true FROM documents""",
+)
+def footer_row_groups(spark, sf):
+    """Rows of all row groups; the records of files agree with those of their row groups, and their sizes hold the groups' bytes."""
+    chunks = footers(spark, sf)
+    out = None
+    for name in ("copy", *_FOOTER_TABLES):
+        own = chunks.filter(F.col("dataset") == name)
+        groups = FT.row_groups(own).groupBy("file_path").agg(F.count("*").alias("n"), F.sum("row_count").alias("rows"), F.max("row_count").alias("most"), F.sum("compressed_bytes").alias("bytes"))
+        both = FT.file_groups(own).join(groups, "file_path", "left")
+        same = (F.col("n") == F.col("row_groups")) & (F.col("rows") == F.col("row_count")) & (F.col("most") == F.col("largest_group")) & F.col("error").isNull()
+        one = both.agg(F.sum("rows").alias("row_count"), F.every(F.coalesce(same, F.lit(False))).alias("agree"), F.every(F.col("bytes").between(1, F.col("size_bytes"))).alias("has_bytes"))
+        one = one.select(F.lit(name).alias("dataset"), "row_count", "agree", "has_bytes")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query(
