@@ -4,16 +4,21 @@
   each map task to k rows per key before the shuffle (WindowGroupLimit): a hot key is safe.
 * exact shares of a table are cut on hash order.  :func:`hash_cuts` finds the cut values by
   counting hash prefixes, never by ranking all rows; membership is then a plain filter.
-* ordered running totals over a whole table go through :func:`running_total`, which spreads
-  the sort over value ranges and adds small per-range offsets.
+* ordered running totals over a whole table go through :func:`running_total`, a parallel prefix
+  sum over ranges of equal numbers of rows, with one offset per range.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
+from ..session import shared_dir
 from .columns import attach
 
 
@@ -161,41 +166,41 @@ def sample_share(df: DataFrame, key: list[str], share: float, salt: str = "") ->
     return df.filter(F.substring(row_hash(key, salt), 1, 8) < limit)
 
 
-def value_ranges(df: DataFrame, value: str, group: list[str], parts: int = 1024) -> DataFrame:
-    """Per group, ``parts - 1`` approximate quantiles that split its values into even ranges."""
-    probs = [i / parts for i in range(1, parts)]
-    return df.groupBy(*group).agg(
-        F.array_distinct(F.percentile_approx(value, probs, max(10_000, parts * 10))).alias("_splits")
-    )
+def range_parts(df: DataFrame, keys: list[str], parts: int | None = None, to: str = "_range") -> DataFrame:
+    """The rows, written once in ranges of ``keys`` with about equal numbers of rows; ``to`` numbers the ranges in order.
+
+    ``parts`` defaults to the session's shuffle partitions.  The bounds come from a sample, so two plans of one range
+    exchange may differ: the numbers hold because everything after reads the written table, also after a lost executor.
+    Equal keys share a range.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, "ranges")
+    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartitionByRange(n, *[F.col(k) for k in keys]).withColumn(to, F.spark_partition_id()).write.parquet(path)
+    return spark.read.schema(StructType([*df.schema.fields, StructField(to, IntegerType())])).parquet(path)
 
 
-def running_total(df: DataFrame, group: list[str], order: str, value: Column, splits: list[float] | None = None,
-                  parts: int = 64, to: str = "running", descending: bool = False) -> DataFrame:
-    """Running total of ``value`` up to and including each row, over a numeric order column.
+def running_total(df: DataFrame, group: list[str], order: str, value: Column, parts: int | None = None,
+                  to: str = "running", descending: bool = False) -> DataFrame:
+    """Running total of ``value`` up to and including each row, over an order column.
 
     ``df`` must hold one row per (group, order) -- pre-aggregate first, so a hot value is one row.
-    Values are put into ranges cut at approximate quantiles; the window runs inside a range and the
-    totals of earlier ranges (at most ``parts`` per group) are added.  ``group`` must be few.
+    A parallel prefix sum: rows are dealt to ranges of (group, order) with about as many rows each, whatever the
+    share of a group; the window runs inside a range, and one offset per range and group is added.
     """
-    ranges = value_ranges(df, order, group, parts) if group else value_ranges(df, order, [], parts)
-    if group:
-        tagged = df.join(F.broadcast(ranges), group)  # one row per group
-    else:
-        tagged = df.withColumn("_splits", ranges.scalar())
-    tagged = tagged.withColumn("_range", F.size(F.filter("_splits", lambda s: s <= F.col(order)))).drop("_splits")
-    tagged = tagged.withColumn("_value", value)
-    per_range = tagged.groupBy(*group, "_range").agg(F.sum("_value").alias("_sum"))
+    ranges = range_parts(df.withColumn("_value", value), [*group, order], parts)
+    sums = ranges.groupBy(*group, "_range").agg(F.sum("_value").alias("_sum"))
     direction = F.col("_range").desc() if descending else F.col("_range").asc()
-    offsets = per_range.withColumn(
-        "_offset", F.sum("_sum").over(W.partitionBy(*group).orderBy(direction)) - F.col("_sum")
-    ).drop("_sum")
-    inner = W.partitionBy(*group, "_range").orderBy(F.col(order).desc() if descending else F.col(order).asc())
-    return (
-        tagged.withColumn("_inner", F.sum("_value").over(inner))
-        .join(F.broadcast(offsets), [*group, "_range"])  # at most groups x parts rows
-        .withColumn(to, F.col("_inner") + F.col("_offset"))
-        .drop("_range", "_value", "_inner", "_offset")
-    )
+    before = W.partitionBy(*group).orderBy(direction).rowsBetween(W.unboundedPreceding, -1)
+    # only a group that goes on from an earlier range has an offset: at most one row per range
+    offsets = sums.withColumn("_offset", F.sum("_sum").over(before)).drop("_sum").filter("_offset IS NOT NULL")
+    own = F.col(order).desc() if descending else F.col(order).asc()
+    inside = F.sum("_value").over(W.partitionBy(*group, "_range").orderBy(own))
+    totals = ranges.withColumn("_inside", inside).alias("t")
+    same = [F.col(f"t.{c}").eqNullSafe(F.col(f"o.{c}")) for c in [*group, "_range"]]
+    joined = totals.join(F.broadcast(offsets.alias("o")), reduce(and_, same), "left")
+    total = F.col("t._inside") + F.coalesce(F.col("o._offset"), F.lit(0))
+    return joined.select(*[F.col(f"t.`{c}`") for c in df.columns], total.alias(to))
 
 
 def positions(df: DataFrame, order: str, to: str = "sample_index", tie: list[str] = ()) -> DataFrame:

@@ -126,6 +126,32 @@ def test_running_total_with_hot_value(spark):
         assert got[x] == sum(v <= x for v in values)
 
 
+def test_running_total_of_uneven_groups(spark):
+    """Groups of one row to a third of all rows, null groups and orders, doubles, both directions, clashing names."""
+    rng = random.Random(9)
+    rows = [(g, float(x), rng.randint(1, 9), "own") for g, n in (("a", 3000), ("b", 1), (None, 40), ("c", 900), ("d", 2000)) for x in rng.sample(range(100_000), n)]
+    rows += [("a", None, 5, "own"), ("e", None, 7, "own")]
+    df = spark.createDataFrame(rows, "g string, x double, v int, _offset string").repartition(6)
+    key = lambda r: (r[1] is not None, r[1] or 0.0)
+    for down in (False, True):
+        got = {(r["g"], r["x"]): r["running"] for r in K.running_total(df, ["g"], "x", F.col("v"), parts=24, descending=down).collect()}
+        want, total = {}, {}
+        for r in sorted(rows, key=key, reverse=down):
+            total[r[0]] = total.get(r[0], 0) + r[2]
+            want[r[0], r[1]] = total[r[0]]
+        assert got == want
+    out = K.running_total(df, ["g"], "x", F.col("v"))
+    assert out.columns == ["g", "x", "v", "_offset", "running"] and {r[0] for r in out.select("_offset").distinct().collect()} == {"own"}
+    assert K.running_total(df.limit(0), ["g"], "x", F.col("v")).count() == 0
+
+
+def test_ranges_are_even(spark):
+    """Log-normal values in one hot and many small groups: no range holds twice its share."""
+    df = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("g"), F.exp(F.randn(3) * 4).alias("x"))
+    sizes = [r["count"] for r in K.range_parts(df, ["g", "x"], 40).groupBy("_range").count().collect()]
+    assert len(sizes) >= 38 and sum(sizes) == 60_000 and max(sizes) < 2 * 60_000 / 40
+
+
 def test_positions(spark):
     df = spark.createDataFrame([(i * i,) for i in range(500)], "id bigint").repartition(7)
     assert [r["sample_index"] for r in K.positions(df, "id").orderBy("id").collect()] == list(range(500))
