@@ -56,6 +56,18 @@ def top_k_per(df: DataFrame, key: list[str], k, order: list[Column], rank: str =
     return ranked.filter(F.col(rank) <= k)
 
 
+def top_k_merged(df: DataFrame, key: list[str], k: int, order: list[Column], rank: str = "rank", buckets: int = 256) -> DataFrame:
+    """Best k rows per key of few keys and many tasks, in two steps.
+
+    Every task keeps its k best rows of a key; ``buckets`` groups of tasks merge theirs first, so no task is sent
+    more than k rows from each task of one group, or from each group.  ``order`` must be total.
+    """
+    # any dealing of tasks to groups gives the same rows
+    dealt = df.withColumn("_bucket", F.spark_partition_id() % buckets)
+    merged = top_k_per(dealt, [*key, "_bucket"], k, order, rank="_rn").drop("_rn", "_bucket")
+    return top_k_per(merged, key, k, order, rank)
+
+
 def row_hash(cols: list[str], salt: str = "") -> Column:
     """Stable hash order of a key, equal in any engine that has md5."""
     parts = [F.lit(salt)] if salt else []

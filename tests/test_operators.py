@@ -117,6 +117,35 @@ def test_sample_rows_is_exact_and_stable(spark):
     assert K.sample_rows(spark.range(10), ["id"], 50).count() == 10
 
 
+def test_top_k_merged_equals_one_step(spark):
+    """Ties, a key with a third of all rows, keys with fewer than k rows, more tasks than buckets."""
+    df = spark.range(6000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 700).alias("g"), (F.col("id") * 7919 % 13).alias("x")).repartition(20)
+    order = [F.col("x").desc(), F.col("id").asc()]
+    rows = lambda out: sorted(tuple(r) for r in out.select("g", "id", "rank").collect())
+    assert rows(K.top_k_merged(df, ["g"], 9, order, buckets=3)) == rows(K.top_k_per(df, ["g"], 9, order))
+    assert K.top_k_merged(df, ["g"], 9, order).columns == ["id", "g", "x", "rank"]
+
+
+def test_request_statistics(spark):
+    """Counted values give what counting every (track, request) pair gives; null artists and genres pass only open filters."""
+    from cantus.operators import recommend
+
+    rng = random.Random(4)
+    tracks = [(rng.choice(["Ana; Bo", "BO", "Cy/Ana", None, "x"]), rng.choice(["Rock", "pop", None]), rng.choice(["sad", "happy"]), rng.uniform(-1, 1)) for _ in range(800)]
+    catalog = spark.createDataFrame(tracks, "artists string, track_genre string, predicted_mood string, speechiness double")
+    asked = [(1, "sad", [], ""), (2, "happy", ["ana"], ""), (3, "sad", ["bo", "x"], "pop"), (4, "happy", [], "rock"), (5, "sad", ["nobody"], "")]
+    requests = spark.createDataFrame(asked, "request_id bigint, mood string, artist_queries array<string>, genre string")
+    want = {}
+    for i, mood, names, genre in asked:
+        left = [t for t in tracks if (not names or (t[0] and any(n in t[0].lower() for n in names))) and (not genre or (t[1] or "").lower() == genre)]
+        if left:
+            want[i] = (max(abs(t[3]) for t in left), sum(t[2] == mood for t in left))
+    got = {r["request_id"]: (r["max_speech"], r["exact_matches"]) for r in recommend.request_statistics(catalog, requests).collect()}
+    assert got == want and 5 not in got
+    bare = recommend.request_statistics(catalog.drop("artists", "track_genre"), requests.filter("request_id = 1")).collect()
+    assert [(r["max_speech"], r["exact_matches"]) for r in bare] == [want[1]]
+
+
 def test_running_total_with_hot_value(spark):
     rng = random.Random(3)
     values = [1.0] * 4000 + [rng.gauss(0, 1) for _ in range(2000)]
