@@ -13,6 +13,8 @@ from ..fixed_values import DEFAULT_MOOD, MOOD_ALIASES, MOOD_CODE, MOODS, TRACK_U
 from .const import mapping
 from .numeric import clip
 
+JSON_DEPTH = 6  # levels of nested JSON that are searched in the JVM
+
 
 def mood_alias(c: Column) -> Column:
     key = F.lower(F.trim(c.cast("string")))
@@ -105,6 +107,62 @@ def json_first(payload: Column, paths: list[str]) -> Column:
     return F.coalesce(*[F.nullif(F.get_json_object(payload, p), F.lit("")) for p in paths])
 
 
+def _json_members(text: Column) -> Column:
+    """Members of a JSON object or array in document order: ``key`` (lower case; null in arrays), ``value`` (JSON), ``text``.
+
+    The variant tells a text from a number; a nested object's ``text`` keeps the order of its keys, which a variant sorts.
+    """
+    strict = {"allowSingleQuotes": "false"}
+    member = lambda key, value, own: F.struct(key.alias("key"), F.to_json(value).alias("value"), own.alias("text"))
+    named = F.zip_with(
+        F.map_entries(F.from_json(text, "map<string,string>", strict)), F.map_values(F.from_json(text, "map<string,variant>", strict)),
+        lambda e, v: member(F.lower(e["key"]), v, e["value"]),
+    )
+    listed = F.zip_with(
+        F.from_json(text, "array<string>", strict), F.from_json(text, "array<variant>", strict), lambda t, v: member(F.lit(None).cast("string"), v, t)
+    )
+    return F.when(text.startswith("{"), named).when(text.startswith("["), listed)
+
+
+def json_entries(payload: Column, depth: int = JSON_DEPTH) -> Column:
+    """``array<struct<key, value>>``: all non-empty members of a JSON text, each object's own before those nested in it.
+
+    The first entry under a key is what a depth-first search for it finds.  Objects and arrays nested
+    deeper than ``depth`` leave one entry without a key.
+    """
+
+    def walk(text: Column, left: int) -> Column:
+        if left == 0:
+            return F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("value")))
+
+        def entries(members: Column) -> Column:
+            own = F.filter(members, lambda m: m["key"].isNotNull() & ~m["value"].isin("null", '""'))
+            nested = F.filter(members, lambda m: m["value"].startswith("{") | m["value"].startswith("["))
+            return F.concat(
+                F.transform(own, lambda m: F.struct(m["key"].alias("key"), m["value"].alias("value"))),
+                F.flatten(F.transform(nested, lambda m: walk(m["text"], left - 1))),
+            )
+
+        return F.get(F.transform(F.array(_json_members(text)), entries), F.lit(0))  # members are worked out once
+
+    return walk(F.ltrim(payload), depth)
+
+
+def json_first_entry(entries: Column, keys: tuple[str, ...]) -> Column:
+    """JSON text of the first entry under one of the keys."""
+    return F.get(F.filter(entries, lambda e: e["key"].isin(*[k.lower() for k in keys])), F.lit(0))["value"]
+
+
+def json_beyond(payload: Column, depth: int = JSON_DEPTH) -> Column:
+    """True where ``json_entries`` does not tell all: no JSON to Spark (repeated keys, too long), or nested too deeply."""
+    brackets = F.length(payload) - F.length(F.translate(payload, "{[", ""))
+    deep = F.when(brackets > depth, F.exists(json_entries(payload, depth), lambda e: e["key"].isNull()))
+    # inside brackets whatever follows the first value shows, which the parser would ignore
+    parsed = F.try_parse_json(F.concat(F.lit("["), payload, F.lit("]")))
+    odd = parsed.isNull() | F.try_variant_get(parsed, "$[1]", "variant").isNotNull()
+    return F.coalesce((F.trim(payload) != "") & (odd | F.coalesce(deep, F.lit(False))), F.lit(False))
+
+
 def find_json_udf(fields: dict[str, tuple[str, ...]]):
     """Arrow-batched search of a JSON text of unknown nesting, one pass for all fields.
 

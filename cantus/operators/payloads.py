@@ -17,8 +17,17 @@ META_FIELDS = {k: PAYLOAD_KEYS[k] for k in ("track_name", "artists", "genres", "
 FEATURE_FIELDS = {k: PAYLOAD_KEYS[k] for k in (*UNIT_FEATURES, "tempo", "loudness", "duration", "id")}
 
 
-def _found(df: DataFrame, payload: str, fields: dict) -> DataFrame:
-    return df.withColumn("_f", P.find_json_udf(fields)(F.col(payload)))
+def find_fields(df: DataFrame, payload: str, fields: dict, to: str = "_f") -> DataFrame:
+    """``struct<field: string>``: JSON text of the first member under one of a field's keys, at any depth.
+
+    Found in the JVM; only payloads that its parser refuses or that nest too deeply are searched in
+    Python.  A null or blank payload has no field.
+    """
+    text, beyond = F.col(payload), P.json_beyond(F.col(payload))
+    entries = df.filter(~beyond).withColumn("_e", P.json_entries(text))
+    found = entries.withColumn(to, F.struct(*[P.json_first_entry(F.col("_e"), keys).alias(f) for f, keys in fields.items()])).drop("_e")
+    rest = df.filter(beyond).withColumn(to, P.find_json_udf(fields)(text))
+    return found.unionByName(rest)
 
 
 def _first_genre(value: Column) -> Column:
@@ -39,7 +48,7 @@ def track_metadata(df: DataFrame, payload: str, with_defaults: bool = True) -> D
     album = f("album")
     in_album = lambda *keys: F.when(album.startswith("{"), P.json_first(album, [f"$.{k}" for k in keys]))
     album_text = F.when(~album.startswith("{") & ~album.startswith("["), P.json_text(album))
-    out = _found(df, payload, META_FIELDS).withColumns(
+    out = find_fields(df, payload, META_FIELDS).withColumns(
         {
             "track_name": P.json_text(f("track_name")),
             "artists": P.json_names(f("artists")),
@@ -77,7 +86,7 @@ def audio_features(df: DataFrame, payload: str) -> DataFrame:
     f = lambda name: F.col(f"_f.{name}")
     text = lambda name: P.json_text(f(name))
     tempo = F.coalesce(F.replace(text("tempo"), F.lit(","), F.lit(".")).try_cast("double"), F.lit(0.0))
-    out = _found(df, payload, FEATURE_FIELDS).withColumns(
+    out = find_fields(df, payload, FEATURE_FIELDS).withColumns(
         {
             **{c: P.unit_value(text(c)) for c in UNIT_FEATURES},
             "tempo": tempo,

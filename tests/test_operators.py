@@ -1,5 +1,6 @@
 """Small fixtures with known answers, hot keys included."""
 
+import json
 import math
 import random
 
@@ -361,6 +362,37 @@ def test_payload_search(spark):
     assert (m[2]["track_name"], m[2]["track_genre"]) == ("Track sin nombre", "spotify_unknown")
 
 
+def test_json_fields_equal_the_recursive_search(spark):
+    """Random nesting, order of keys, blanks, odd texts and depths beyond the bound; no Python for plain payloads."""
+    rng = np.random.default_rng(5)
+    keys = ["Name", "title", "ARTIST", "x", "y", "id"]
+
+    def node(left):
+        kind = rng.integers(0, 8 if left else 5)
+        if kind < 5:
+            return [None, "", f"t{rng.integers(9)}", int(rng.integers(99)), '{"name": "in a text"}'][kind]
+        if kind == 5:
+            return [node(left - 1) for _ in range(rng.integers(0, 3))]
+        return {str(k): node(left - 1) for k in rng.permutation(keys)[: rng.integers(0, 5)]}
+
+    def deep(n):
+        return {"name": "far"} if n == 0 else {"x": deep(n - 1)}
+
+    texts = [json.dumps(node(4)) for _ in range(150)] + [json.dumps(deep(n)) for n in (1, 4, 5, 6, 9)]
+    texts += [None, "", "  ", "no json", '{"name": 1} trailing', "{'name': 'single'}", '{"name": "a", "name": "b"}', '{"x": [NaN], "id": 3}', ' {"name": "é\\u00e9\\n"}', "[]", "{}", '"name"', '{"x": {"id": 1.5}}', '{"id": 1}, {"id": 2}']
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, p string")
+    fields = {"track": ("title", "name"), "artist": ("artist",), "id": ("id",)}
+    got = {r["i"]: r["_f"] for r in PL.find_fields(df, "p", fields).collect()}
+    want = {r["i"]: r["w"] for r in df.withColumn("w", P.find_json_udf(fields)("p")).collect()}
+    assert len(got) == len(texts)
+    value = lambda v: None if v is None else json.loads(v)
+    for i, t in enumerate(texts):
+        for f in fields:
+            assert value(got[i][f]) == value(want[i][f]), (t, f)
+    plain = PL.find_fields(df, "p", fields)._jdf.queryExecution().optimizedPlan().toString()
+    assert plain.count("ArrowEvalPython") == 1  # of the branch for the rest
+
+
 def test_upload_validation(spark):
     values = {**{c: 0.5 for c in V.UNIT_FEATURES}, "loudness": -5.0, "tempo": 100.0}
     good = {"URL": "https://open.spotify.com/track/0aB1cD2eF3gH4iJ5kL6mN7", "Duration (ms)": 1000.0, "Explicit": "sí", **values}
