@@ -127,13 +127,13 @@ def _json_members(text: Column) -> Column:
 def json_entries(payload: Column, depth: int = JSON_DEPTH) -> Column:
     """``array<struct<key, value>>``: all non-empty members of a JSON text, each object's own before those nested in it.
 
-    The first entry under a key is what a depth-first search for it finds.  Objects and arrays nested
-    deeper than ``depth`` leave one entry without a key.
+    The first entry under a key is what a depth-first search for it finds.  Members nested deeper than
+    ``depth`` are not listed (``json_beyond`` tells where there are any).
     """
 
     def walk(text: Column, left: int) -> Column:
         if left == 0:
-            return F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("value")))
+            return F.array().cast("array<struct<key:string,value:string>>")
 
         def entries(members: Column) -> Column:
             own = F.filter(members, lambda m: m["key"].isNotNull() & ~m["value"].isin("null", '""'))
@@ -155,12 +155,13 @@ def json_first_entry(entries: Column, keys: tuple[str, ...]) -> Column:
 
 def json_beyond(payload: Column, depth: int = JSON_DEPTH) -> Column:
     """True where ``json_entries`` does not tell all: no JSON to Spark (repeated keys, too long), or nested too deeply."""
-    brackets = F.length(payload) - F.length(F.translate(payload, "{[", ""))
-    deep = F.when(brackets > depth, F.exists(json_entries(payload, depth), lambda e: e["key"].isNull()))
     # inside brackets whatever follows the first value shows, which the parser would ignore
     parsed = F.try_parse_json(F.concat(F.lit("["), payload, F.lit("]")))
     odd = parsed.isNull() | F.try_variant_get(parsed, "$[1]", "variant").isNotNull()
-    return F.coalesce((F.trim(payload) != "") & (odd | F.coalesce(deep, F.lit(False))), F.lit(False))
+    brackets = F.regexp_replace(F.regexp_replace(payload, r'"(?:\\.|[^"\\])*+"', ""), r"[^\[\]{}]+", "")
+    for _ in range(depth):  # every turn takes the innermost level away
+        brackets = F.regexp_replace(brackets, r"\[\]|\{\}", "")
+    return F.coalesce((F.trim(payload) != "") & (odd | (brackets != "")), F.lit(False))
 
 
 def find_json_udf(fields: dict[str, tuple[str, ...]]):
