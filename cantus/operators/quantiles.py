@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.const import sql
+from .columns import attach
 
 STEP = 12  # bits of the mantissa in the first prefix
 FINE = 1 << 20  # steps below a prefix
@@ -36,6 +37,31 @@ def approximate(df: DataFrame, features: list[str], probs: list[float], relative
     )
 
 
+def rank_bounds(df: DataFrame, found: DataFrame, features: list[str], probs: list[float], error: float) -> DataFrame:
+    """``(feature, prob, n, is_value, within)``: whether the ranks that ``found`` values hold come within ``error`` x n of the wanted one.
+
+    ``found`` is ``approximate``'s result; its values are scalar subqueries, so the ranks are counted in one pass.
+    """
+    cell = lambda f, i: F.max(F.when(F.col("feature") == F.lit(f), F.get("q", F.lit(i))))
+    row = found.agg(*[F.array(*[cell(f, i) for i in range(len(probs))]).alias(f"q{j}") for j, f in enumerate(features)])
+    seen = attach(df.select(*[F.col(f).cast("double").alias(f"x{j}") for j, f in enumerate(features)]), row, "_q")
+    pairs = [(j, f, i, p) for j, f in enumerate(features) for i, p in enumerate(probs)]
+    at = lambda j, i: F.get(F.col(f"_q.q{j}"), F.lit(i))
+    counts = seen.agg(
+        *[F.count(f"x{j}").alias(f"n{j}") for j in range(len(features))],
+        *[F.count_if(F.col(f"x{j}") < at(j, i)).alias(f"b{j}_{i}") for j, _, i, _ in pairs],
+        *[F.count_if(F.col(f"x{j}") <= at(j, i)).alias(f"u{j}_{i}") for j, _, i, _ in pairs],
+    )
+
+    def told(j: int, f: str, i: int, p: float) -> Column:
+        n, below, upto = F.col(f"n{j}"), F.col(f"b{j}_{i}"), F.col(f"u{j}_{i}")
+        # one rank of slack: the wanted rank itself is rounded
+        within = (below <= n * (p + error) + 1) & (upto >= n * (p - error) - 1)
+        return F.struct(F.lit(f).alias("feature"), F.lit(float(p)).alias("prob"), n.alias("n"), (upto > below).alias("is_value"), within.alias("within"))
+
+    return counts.select(F.inline(F.array(*[told(*pair) for pair in pairs])))
+
+
 def _digits(values: DataFrame) -> DataFrame:
     """Adds ``_k`` (exponent and 12 bits, monotone in x) and ``_s`` (the next 20 bits).
 

@@ -210,6 +210,16 @@ def approx_quartiles(spark, sf):
     return QT.approximate(load(spark, sf, "events"), ["value", "user_id"], [0.25, 0.75])
 
 
+@query(
+    "approx_quantile_ranks",
+    each(["value", "user_id"], " UNION ALL ".join(f"SELECT '{{c}}' AS feature, CAST({p} AS DOUBLE) AS prob, count({{c}}) AS n, TRUE AS is_value, TRUE AS within FROM events" for p in (0.05, 0.25, 0.5, 0.75, 0.95))),
+)
+def approx_quantile_ranks(spark, sf):
+    """Every approximate quantile is a value of the column, and its ranks meet the promised 0.1 % around the wanted one."""
+    e, probs = load(spark, sf, "events"), [0.05, 0.25, 0.5, 0.75, 0.95]
+    return QT.rank_bounds(e, QT.approximate(e, ["value", "user_id"], probs), ["value", "user_id"], probs, 0.001)
+
+
 @query(
     "eta_squared",
     each(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..fixed_values import DEFAULT_LEXICON, GENERAL_ACTIVITY, GENERIC_WORDS, KEYWORD_DELTAS, KEYWORD_HINTS, PHRASE_TEMPLATES, PROFILE, PROTOTYPES
+from ..fixed_values import DEFAULT_LEXICON, DEFAULT_PHRASES, GENERAL_ACTIVITY, GENERIC_WORDS, KEYWORD_DELTAS, KEYWORD_HINTS, PHRASE_TEMPLATES, PROFILE, PROTOTYPES
 from ..functions import parse as P
 from ..functions import text as X
 from ..operators import activity as A
@@ -186,6 +186,42 @@ def phrase_classifier(spark, sf):
     return rounded(out.drop("text"), [*PROFILE, "confidence"])
 
 
+_BASE = ", ".join(f"({i}, '{a}', '{p}')" for i, (a, p) in enumerate((a, p) for a, ps in DEFAULT_PHRASES.items() for p in ps))
+_TEMPLATES = ", ".join(f"('{t}')" for t in PHRASE_TEMPLATES)
+
+
+# TF-IDF, cosine distance, the three nearest training phrases and their weighted votes, all phrases against all texts.
+@query(
+    "phrase_votes",
+    rf"""WITH raw AS ({_texts_sql()}), base(b, activity, phrase) AS (VALUES {_BASE}), templates(t) AS (VALUES {_TEMPLATES}), proto(o, activity, {_D}) AS (VALUES {_PROTO}),
+    expanded AS (SELECT DISTINCT b, activity, replace(t, '{{}}', phrase) AS txt FROM base CROSS JOIN templates),
+    phrases AS (SELECT row_number() OVER (ORDER BY b, txt) - 1 AS id, activity, txt FROM expanded),
+    src AS (SELECT 0 AS side, id, txt FROM phrases UNION ALL SELECT 1, text_id, {_norm_sql('text')} FROM raw),
+    w AS (SELECT side, id, list_filter(string_split_regex(lower(txt), '[^\p{{L}}\p{{N}}_]+'), lambda x: length(x) >= 2) AS w FROM src),
+    c AS (SELECT side, id, ' ' || unnest(list_filter(string_split_regex(lower(txt), '\s+'), lambda x: x <> '')) || ' ' AS p FROM src),
+    cn AS (SELECT side, id, p, unnest([3, 4, 5]) AS n FROM c),
+    grams AS (SELECT side, id, 0 AS kind, unnest(w) AS term FROM w
+      UNION ALL SELECT side, id, 0, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w
+      UNION ALL SELECT side, id, 1, unnest(list_transform(range(1, length(p) - n + 2), lambda i: substr(p, i, n))) FROM cn),
+    tf AS (SELECT side, id, kind, term, count(*) AS tf FROM grams GROUP BY side, id, kind, term),
+    idf AS (SELECT kind, term, ln((1.0 + (SELECT count(*) FROM phrases)) / (1.0 + count(*))) + 1.0 AS idf FROM tf WHERE side = 0 GROUP BY kind, term),
+    x AS (SELECT side, id, kind, term, tf * idf AS w FROM tf JOIN idf USING (kind, term)),
+    blocks AS (SELECT side, id, count(DISTINCT kind) AS blocks FROM x GROUP BY side, id),
+    u AS (SELECT side, id, kind, term, w / sqrt(sum(w * w) OVER (PARTITION BY side, id, kind)) / sqrt(blocks) AS u FROM x JOIN blocks USING (side, id)),
+    dots AS (SELECT t.id AS text_id, p.id AS phrase_id, t.u * p.u AS dot FROM u t JOIN u p ON t.side = 1 AND p.side = 0 AND t.kind = p.kind AND t.term = p.term
+      UNION ALL SELECT id, unnest([0, 1, 2, 3, 4]), 0.0 FROM src WHERE side = 1),
+    d AS (SELECT text_id, phrase_id, greatest(1.0 - sum(dot), 0.0) AS distance FROM dots GROUP BY text_id, phrase_id),
+    near AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY text_id ORDER BY round(distance, 12), phrase_id) <= 3),
+    weighed AS (SELECT text_id, phrase_id, CASE WHEN bool_or(distance < 1e-12) OVER (PARTITION BY text_id) THEN CAST(distance < 1e-12 AS DOUBLE) ELSE 1.0 / greatest(distance, 1e-12) END AS w FROM near),
+    votes AS (SELECT text_id, activity, sum(w) AS w FROM weighed JOIN phrases ON phrases.id = phrase_id GROUP BY text_id, activity)
+    SELECT text_id, arg_min(activity, row(-round(w, 9), activity)) AS label, round(max(w) / sum(w), 6) AS confidence, {', '.join(rnd(f'sum(w * d{i}) / sum(w)', c) for i, c in enumerate(PROFILE))}
+    FROM votes JOIN proto USING (activity) GROUP BY text_id""",
+)
+def phrase_votes(spark, sf):
+    texts = activity_texts(spark, sf).select("text_id", X.fold_basic(F.coalesce("text", F.lit(""))).alias("clean"))
+    return rounded(PH.classify_texts(texts, "text_id", "clean"), ["confidence", *PROFILE])
+
+
 # Word 1-2-grams and character grams of whole texts, the terms the phrase index is made of.
 @query(
     "word_grams",
