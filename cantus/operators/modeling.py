@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from itertools import product
+from multiprocessing.pool import ThreadPool
 
-from pyspark import keyword_only
+from pyspark import inheritable_thread_target, keyword_only
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import Evaluator, RegressionEvaluator
@@ -12,7 +13,6 @@ from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param.shared import HasLabelCol, HasPredictionCol
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -117,19 +117,27 @@ REGRESSOR_GRID = {
 
 
 def grid_search(df: DataFrame, make, options: dict[str, list], evaluator: Evaluator, fold: str = "fold", k: int = 3,
-                parallelism: int = 2):
+                parallelism: int = 2, weigh=None):
     """Cross-validate every parameter set on a fixed fold column and refit the best on all rows.
 
-    Every parameter set is one fitted pipeline stage list, passed to CrossValidator as a param map.
-    Returns (best model, rows of (params, metric)).
+    ``weigh`` adds the weight column from the rows it is given: those of a fold's training side, so that
+    no fit sees the classes of its held-out rows.  Returns (best model, rows of (params, mean metric)).
     """
+    weigh = weigh or (lambda rows: rows)
     sets = param_sets(options)
-    pipeline = Pipeline(stages=[])
-    maps = [{pipeline.stages: make(**p).getStages()} for p in sets]
-    cv = CrossValidator(estimator=pipeline, estimatorParamMaps=maps, evaluator=evaluator, numFolds=k, foldCol=fold, parallelism=parallelism)
-    fitted = cv.fit(df)
-    results = [(str(p), float(m)) for p, m in zip(sets, fitted.avgMetrics)]
-    return fitted.bestModel, results
+    pool, metrics = ThreadPool(parallelism), [0.0] * len(sets)
+    try:
+        for i in range(k):
+            train, held = weigh(df.filter(F.col(fold) != i)).persist(), df.filter(F.col(fold) == i)
+            try:
+                one = inheritable_thread_target(df.sparkSession)(lambda p: evaluator.evaluate(make(**p).fit(train).transform(held)))
+                metrics = [m + found / k for m, found in zip(metrics, pool.map(one, sets))]
+            finally:
+                train.unpersist()
+    finally:
+        pool.close()
+    best = max(range(len(sets)), key=lambda i: metrics[i] if evaluator.isLargerBetter() else -metrics[i])
+    return fit(make(**sets[best]), weigh(df)), [(str(p), float(m)) for p, m in zip(sets, metrics)]
 
 
 def cv_table(spark, model: str, results: list[tuple[str, float]], metric: str) -> DataFrame:
@@ -147,12 +155,13 @@ def fit(pipeline: Pipeline, df: DataFrame) -> PipelineModel:
 
 def search_classifiers(df: DataFrame, features: list[str], label: str, classes: list, key: list[str], grids: dict = CLASSIFIER_GRID, k: int = 3):
     """Stratified k-fold macro-F1 search over all classifier kinds: {kind: (model, results)}."""
-    folds = K.fold_column(balanced_weights(df, label, classes), key, k, label, classes).persist()
+    folds = K.fold_column(df, key, k, label, classes).persist()
     total = float(folds.count()) * (k - 1) / k  # balanced weights sum to the rows, of which a fit sees k - 1 folds
     evaluator = MacroF1(labelCol=label, labels=classes)
     make = lambda kind: lambda **p: classifier_pipeline(kind, features, label, total_weight=total, **p)
     try:
-        return {kind: grid_search(folds, make(kind), options, evaluator, k=k) for kind, options in grids.items()}
+        weigh = lambda rows: balanced_weights(rows, label, classes)
+        return {kind: grid_search(folds, make(kind), options, evaluator, k=k, weigh=weigh) for kind, options in grids.items()}
     finally:
         folds.unpersist()
 
@@ -177,6 +186,16 @@ def score_classifier(model: PipelineModel, df: DataFrame, n_classes: int, prefix
     return out.withColumn("prediction", F.col("prediction").cast("int")).drop("features", "rawPrediction", "probability", *extra)
 
 
+def score_facts(scored: DataFrame, label: str, classes: list, prefix: str = "p") -> DataFrame:
+    """``(label, rows, sums_to_one, takes_largest)`` of ``score_classifier``'s rows: what holds for any fitted model."""
+    shares = [F.col(f"{prefix}{i}") for i in range(len(classes))]
+    chosen = F.get(F.array(*shares), F.col("prediction"))
+    return scored.groupBy(F.col(label).alias("label")).agg(
+        F.count("*").alias("rows"), F.bool_and(F.abs(sum(shares[1:], shares[0]) - 1) < 1e-9).alias("sums_to_one"),
+        F.bool_and(chosen >= F.greatest(*shares)).alias("takes_largest"),
+    )
+
+
 def as_score_model(model: PipelineModel):
     """A regressor as the ``model`` argument of the recommender."""
     return lambda df: model.transform(df).withColumn("model_prediction", F.col("prediction")).drop("features", "prediction")

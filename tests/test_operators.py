@@ -393,6 +393,35 @@ def test_json_fields_equal_the_recursive_search(spark):
     assert plain.count("ArrowEvalPython") == 1  # of the branch for the rest
 
 
+def test_search_weighs_each_training_side_alone(spark):
+    """No fit sees a weight that its held-out fold had a part in; the best set is fitted again on all rows."""
+    from cantus.operators import modeling as M
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(120, 2))
+    rows = [(i, float(a), float(b), int(a > 0.8), i % 3) for i, (a, b) in enumerate(x)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, label int, fold int")
+    sides = []
+
+    def weigh(side):
+        sides.append(sorted(r["fold"] for r in side.select("fold").distinct().collect()))
+        return M.balanced_weights(side, "label", [0, 1])
+
+    make = lambda **p: M.classifier_pipeline("logistic_regression", ["a", "b"], "label", total_weight=80.0, **p)
+    model, results = M.grid_search(df, make, {"C": [0.01, 10.0], "max_iter": [30]}, M.MacroF1(labelCol="label", labels=[0, 1]), weigh=weigh)
+    assert sides == [[1, 2], [0, 2], [0, 1], [0, 1, 2]]
+    assert len(results) == 2 and results[1][1] > 0.85
+    facts = {r["label"]: r for r in M.score_facts(M.score_classifier(model, df, 2), "label", [0, 1]).collect()}
+    assert facts[0]["rows"] + facts[1]["rows"] == 120 and all(f["sums_to_one"] and f["takes_largest"] for f in facts.values())
+
+
+def test_rank_bounds_tell_a_wrong_quantile(spark):
+    df = spark.createDataFrame([(float(i), None if i % 2 else 1.0) for i in range(1000)], "x double, y double")
+    found = spark.createDataFrame([("x", [500.0, 700.0]), ("y", [1.0, 1.0])], "feature string, q array<double>")
+    got = {(r["feature"], r["prob"]): (r["n"], r["is_value"], r["within"]) for r in QT.rank_bounds(df, found, ["x", "y"], [0.5, 0.9], 0.001).collect()}
+    assert got == {("x", 0.5): (1000, True, True), ("x", 0.9): (1000, True, False), ("y", 0.5): (500, True, True), ("y", 0.9): (500, True, True)}
+
+
 def test_upload_validation(spark):
     values = {**{c: 0.5 for c in V.UNIT_FEATURES}, "loudness": -5.0, "tempo": 100.0}
     good = {"URL": "https://open.spotify.com/track/0aB1cD2eF3gH4iJ5kL6mN7", "Duration (ms)": 1000.0, "Explicit": "sí", **values}
