@@ -215,14 +215,18 @@ def importances(model: PipelineModel, features: list[str], spark) -> DataFrame:
 
 
 def learning_curve(df: DataFrame, make, evaluator: Evaluator, key: list[str], label: str, classes: list, k: int = 3,
-                   shares: tuple[float, ...] = (0.2, 0.4, 0.6, 0.8, 1.0)) -> list[tuple[float, int, float, float]]:
-    """(share, fold, train metric, validation metric): fits on growing hash prefixes of each fold's rest."""
+                   shares: tuple[float, ...] = (0.2, 0.4, 0.6, 0.8, 1.0), weigh=None) -> list[tuple[float, int, float, float]]:
+    """(share, fold, train metric, validation metric): fits on growing hash prefixes of each fold's rest.
+
+    ``weigh`` adds the weight column from the rows of each fit alone.
+    """
+    weigh = weigh or (lambda rows: rows)
     folds = K.fold_column(df, key, k, label, classes).persist()
     out = []
     for fold in range(k):
         rest, held = folds.filter(F.col("fold") != fold), folds.filter(F.col("fold") == fold)
         for share in shares:
-            part = rest if share >= 1.0 else K.sample_share(rest, key, share, "curve")
+            part = weigh(rest if share >= 1.0 else K.sample_share(rest, key, share, "curve"))
             model = make().fit(part)
             out.append((share, fold, evaluator.evaluate(model.transform(part)), evaluator.evaluate(model.transform(held))))
     folds.unpersist()

@@ -80,9 +80,9 @@ def grid_search_classifier(spark, sf):
 
 @query("learning_curve")
 def learning_curve(spark, sf):
-    data = L.balanced_weights(labelled(spark, sf), "label", CLASSES)
     make = lambda: L.classifier_pipeline("random_forest", FEATURES, "label", n_trees=5, max_depth=4)
-    rows = L.learning_curve(data, make, L.MacroF1(labelCol="label", labels=CLASSES), ["row_id"], "label", CLASSES, k=2, shares=(0.2, 1.0))
+    weigh = lambda rows: L.balanced_weights(rows, "label", CLASSES)
+    rows = L.learning_curve(labelled(spark, sf), make, L.MacroF1(labelCol="label", labels=CLASSES), ["row_id"], "label", CLASSES, k=2, shares=(0.2, 1.0), weigh=weigh)
     return spark.createDataFrame(rows, "share double, fold int, train_macro_f1 double, validation_macro_f1 double")
 
 
