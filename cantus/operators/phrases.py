@@ -24,10 +24,15 @@ EXACT_MATCH = 1e-12
 def word_grams(text: Column) -> Column:
     """Words of two or more letters, and pairs of neighbours."""
     w = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}_]+"), lambda t: F.length(t) >= 2)
-    pairs = F.when(
-        F.size(w) >= 2, F.transform(F.sequence(F.lit(1), F.size(w) - 1), lambda i: F.concat_ws(" ", F.get(w, i - 1), F.get(w, i)))
-    ).otherwise(F.array().cast("array<string>"))
-    return F.concat(w, pairs)
+
+    def with_pairs(own: Column) -> Column:
+        pairs = F.when(
+            F.size(own) >= 2, F.transform(F.slice(own, F.lit(1), F.size(own) - 1), lambda t, i: F.concat_ws(" ", t, F.get(own, i + 1)))
+        ).otherwise(F.array().cast("array<string>"))
+        return F.concat(own, pairs)
+
+    # bound once by the lambda: inside the pairs the text would be split again for every word
+    return F.get(F.transform(F.array(w), with_pairs), F.lit(0))
 
 
 def char_grams(text: Column, lo: int = 3, hi: int = 5) -> Column:
