@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from cantus.operators import activity as A
 from cantus.operators import phrases as PH
 
 
@@ -15,3 +16,12 @@ def test_words_are_split_once_per_text(spark):
     assert plan(out).count("split(") == 1
     got = {r.k: r.g for r in out.collect()}
     assert got == {1: ["uno", "dos", "tres", "uno dos", "dos tres"], 2: ["solo"], 3: [], 4: None}
+
+
+def test_a_phrase_is_folded_once_for_all_templates(spark):
+    df = spark.createDataFrame([(1, "  Corrér  "), (1, None), (2, "")], "k int, p string")
+    out = A.expand_phrases(df, "p", templates=("{}", "{} x", "{}", "a {}"))
+    generator = next(line for line in plan(out).splitlines() if "Generate" in line)
+    assert "translate(" not in generator and out.columns == ["k", "p", "text"]
+    assert sorted((r.k, r.text) for r in out.collect() if r.text is not None) == [(1, "a correr"), (1, "correr"), (1, "correr x"), (2, ""), (2, " x"), (2, "a ")]
+    assert [r.p for r in out.collect() if r.text is None] == [None]
