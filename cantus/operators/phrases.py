@@ -62,12 +62,13 @@ def tf_idf(df: DataFrame, key: str, text: str) -> DataFrame:
     """``(key, kind, term, weight)``: smoothed idf over all texts, each text's kind of unit length.
 
     Term counts are aggregated before they are joined; a term that most texts share is a skewed key
-    that adaptive execution splits, as its other side is one row.
+    that adaptive execution splits, as its other side is one row.  The vocabulary grows with the texts,
+    so it is merged and never broadcast: a broadcast would pass through the driver.
     """
     counted = terms(df, key, text)
     n = df.agg(F.count("*")).scalar()
     known = counted.groupBy("kind", "term").agg((F.ln((1.0 + n) / (1.0 + F.count("*"))) + 1.0).alias("idf"))
-    weighed = counted.join(known, ["kind", "term"]).withColumn("w", F.col("tf") * F.col("idf"))
+    weighed = counted.join(known.hint("merge"), ["kind", "term"]).withColumn("w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy(key, "kind")))
     return weighed.select(key, "kind", "term", (F.col("w") / norm).alias("weight"))
 

@@ -25,3 +25,8 @@ def test_a_phrase_is_folded_once_for_all_templates(spark):
     assert "translate(" not in generator and out.columns == ["k", "p", "text"]
     assert sorted((r.k, r.text) for r in out.collect() if r.text is not None) == [(1, "a correr"), (1, "correr"), (1, "correr x"), (2, ""), (2, " x"), (2, "a ")]
     assert [r.p for r in out.collect() if r.text is None] == [None]
+
+
+def test_a_growing_vocabulary_is_not_broadcast(spark):
+    df = spark.createDataFrame([(1, "uno dos"), (2, "dos")], "k int, t string")
+    assert "Broadcast" not in PH.tf_idf(df, "k", "t")._jdf.queryExecution().executedPlan().toString()
