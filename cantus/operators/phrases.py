@@ -19,6 +19,7 @@ from . import activity as A
 
 MAX_PHRASES = 5_000
 EXACT_MATCH = 1e-12
+PART_CHARS = 1_000_000  # a text has three to four terms per character, each a row until it is counted
 
 
 def word_grams(text: Column) -> Column:
@@ -103,17 +104,22 @@ def nearest_phrases(texts: DataFrame, key: str, text: str, rows: DataFrame, k: i
     """``(key, phrase_id, distance, weight)`` for the k nearest phrases of every text.
 
     A text that shares no term with a phrase is at distance 1 from it; the lowest phrase ids then
-    fill the k places, so every text gets exactly k neighbours.
+    fill the k places, so every text gets exactly k neighbours.  The partitions are dealt by the characters
+    of all texts, so that the terms of one fit a task's memory; postings join after the windows have sorted.
     """
-    by_id = texts.select(key, F.coalesce(F.col(text), F.lit("")).alias("_t")).repartition(key)
-    index = F.broadcast(build_index(rows))  # at most MAX_PHRASES base phrases x 12 variants
-    hits = terms(by_id, key, "_t").join(index, ["kind", "term"]).withColumn("w", F.col("tf") * F.col("idf"))
+    plain = texts.select(key, F.coalesce(F.col(text), F.lit("")).alias("_t"))
+    chars = plain.agg(F.sum(F.length("_t")).alias("n")).first()["n"] or 0
+    by_id = plain.repartition(max(plain.sparkSession.sparkContext.defaultParallelism, -(-chars // PART_CHARS)), key)
+    index = build_index(rows)  # at most MAX_PHRASES base phrases x 12 variants
+    known, postings = F.broadcast(index.drop("postings")), F.broadcast(index.drop("idf"))
+    hits = terms(by_id, key, "_t").join(known, ["kind", "term"]).withColumn("w", F.col("tf") * F.col("idf"))
     per_kind = W.partitionBy(key, "kind")
     per_text = W.partitionBy(key)
     hits = hits.withColumn("norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(per_kind)))
     hits = hits.withColumn("blocks", F.size(F.collect_set("kind").over(per_text)))
     unit = F.col("w") / F.col("norm") / F.sqrt(F.col("blocks").cast("double"))
-    dots = hits.select(key, unit.alias("u"), F.explode("postings").alias("p"))
+    units = hits.select(key, "kind", "term", unit.alias("u"))
+    dots = units.join(postings, ["kind", "term"]).select(key, "u", F.explode("postings").alias("p"))
     dots = dots.select(key, F.col("p.phrase_id").alias("phrase_id"), (F.col("u") * F.col("p.w")).alias("dot"))
     fillers = const.array(range(2 * k - 1))  # enough low ids even if k - 1 of them match
     zero = by_id.select(key, F.explode(fillers).alias("phrase_id"), F.lit(0.0).alias("dot"))

@@ -30,3 +30,14 @@ def test_a_phrase_is_folded_once_for_all_templates(spark):
 def test_a_growing_vocabulary_is_not_broadcast(spark):
     df = spark.createDataFrame([(1, "uno dos"), (2, "dos")], "k int, t string")
     assert "Broadcast" not in PH.tf_idf(df, "k", "t")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_texts_are_dealt_by_their_characters(spark, monkeypatch):
+    monkeypatch.setattr(PH, "PART_CHARS", 50)
+    df = spark.createDataFrame([(i, "quiero correr por el parque") for i in range(60)], "k int, t string")
+    near = PH.nearest_phrases(df, "k", "t", PH.phrase_rows(spark))
+    told = near._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [k#" in told and ", 33" in told  # 60 texts of 27 characters
+    assert near.count() == 180
+    # no window sorts postings
+    assert not any("postings" in line for line in told.splitlines() if line.strip(" +-:").startswith("Window"))
