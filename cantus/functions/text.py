@@ -73,11 +73,15 @@ def fold_name(c: Column) -> Column:
 
 
 def fold_name_udf():
-    """Full compatibility folding as an Arrow-batched function of one column."""
+    """Full compatibility folding as an Arrow-batched function of one column, one value after the other.
+
+    Column-wide steps would hold a batch of long texts several times over.
+    """
+    other = re.compile("[^a-z0-9]+")
 
     def fold(s: pd.Series) -> pd.Series:
-        text = s.str.strip().str.lower().str.normalize("NFKD")
-        return text.str.replace(r"[^a-z0-9]+", "", regex=True)
+        plain = lambda v: other.sub("", unicodedata.normalize("NFKD", v.strip().lower()))
+        return pd.Series([plain(v) if isinstance(v, str) else None for v in s], dtype=object)
 
     return F.pandas_udf(fold, T.StringType())
 

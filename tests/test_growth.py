@@ -1,7 +1,11 @@
 """Steps whose cost must not grow faster than their input: how often something is worked out, and how work is dealt."""
 
+import tracemalloc
+
+import pandas as pd
 from pyspark.sql import functions as F
 
+from cantus.functions import text as X
 from cantus.operators import activity as A
 from cantus.operators import phrases as PH
 
@@ -41,3 +45,18 @@ def test_texts_are_dealt_by_their_characters(spark, monkeypatch):
     assert near.count() == 180
     # no window sorts postings
     assert not any("postings" in line for line in told.splitlines() if line.strip(" +-:").startswith("Window"))
+
+
+def peak_mb(work) -> float:
+    tracemalloc.start()
+    work()
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    return peak
+
+
+def test_folding_holds_no_batch_twice_over(spark):
+    fold = X.fold_name_udf().func
+    texts = pd.Series([f"Canción {i} " * 5_000 for i in range(100)])  # 6 MB, and as much folded
+    assert peak_mb(lambda: fold(texts)) < 9
+    assert fold(pd.Series([" Beyoncé ﬁ", None, ""])).tolist() == ["beyoncefi", None, ""]
