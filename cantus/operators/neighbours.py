@@ -68,8 +68,11 @@ def _pivot_distances(pivots: list[list[float]]):
     def compute(v: pd.Series) -> pd.Series:
         if not len(v):
             return pd.Series([], dtype=object)
-        gap = np.stack(v.to_numpy())[:, None, :] - centres[None, :, :]
-        return pd.Series(list(np.sqrt((gap * gap).sum(axis=2))))
+        found = []
+        for s in range(0, len(v), PROBES):  # the gaps of a whole batch would be as many copies of it as there are pivots
+            gap = np.stack(v.iloc[s : s + PROBES].to_numpy())[:, None, :] - centres[None, :, :]
+            found.extend(np.sqrt((gap * gap).sum(axis=2)))
+        return pd.Series(found)
 
     return F.pandas_udf(compute, T.ArrayType(T.DoubleType()))
 

@@ -2,11 +2,13 @@
 
 import tracemalloc
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
 from cantus.functions import text as X
 from cantus.operators import activity as A
+from cantus.operators import neighbours as NB
 from cantus.operators import phrases as PH
 
 
@@ -60,3 +62,11 @@ def test_folding_holds_no_batch_twice_over(spark):
     texts = pd.Series([f"Canción {i} " * 5_000 for i in range(100)])  # 6 MB, and as much folded
     assert peak_mb(lambda: fold(texts)) < 9
     assert fold(pd.Series([" Beyoncé ﬁ", None, ""])).tolist() == ["beyoncefi", None, ""]
+
+
+def test_pivot_distances_are_worked_out_in_slices(spark):
+    rng = np.random.default_rng(2)
+    vectors, centres = rng.normal(size=(3_000, 64)), rng.normal(size=(32, 64))
+    compute, column = NB._pivot_distances(centres.tolist()).func, pd.Series(list(vectors))
+    assert peak_mb(lambda: compute(column)) < 20  # all gaps at once are 49 MB
+    assert np.allclose(np.stack(compute(column)), np.sqrt(((vectors[:, None] - centres) ** 2).sum(axis=2)))
