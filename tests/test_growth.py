@@ -10,6 +10,7 @@ from cantus.functions import text as X
 from cantus.operators import activity as A
 from cantus.operators import neighbours as NB
 from cantus.operators import phrases as PH
+from cantus.operators import recommend as R
 
 
 def plan(df) -> str:
@@ -70,3 +71,12 @@ def test_pivot_distances_are_worked_out_in_slices(spark):
     compute, column = NB._pivot_distances(centres.tolist()).func, pd.Series(list(vectors))
     assert peak_mb(lambda: compute(column)) < 20  # all gaps at once are 49 MB
     assert np.allclose(np.stack(compute(column)), np.sqrt(((vectors[:, None] - centres) ** 2).sum(axis=2)))
+
+
+def test_the_product_with_the_grid_is_dealt_by_its_rows(spark, monkeypatch):
+    monkeypatch.setattr(R, "GRID_ROWS", 1_000)
+    names = [*[c for c in R.RECOMMENDER_FEATURES], *[f"proba_{m}" for m in R.MOODS], "mood_confidence"]
+    tracks = spark.range(500).coalesce(1).select(F.concat(F.lit("T"), "id").alias("track_id"), *[(F.col("id") % 7 / 7).alias(c) for c in names])
+    out = R.weak_supervision(tracks, ["track_id"])
+    per_part = out.groupBy(F.spark_partition_id()).count().toPandas()["count"]
+    assert per_part.sum() == 500 * 56 and per_part.max() < 3_000
