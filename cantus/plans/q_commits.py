@@ -14,6 +14,8 @@ from ..streaming import jobs as X
 from . import standins as S
 from .registry import load, query
 
+ROWS_PER_FILE = 500_000  # of a stream's input
+
 
 @query(
     "stream_until_counts",
@@ -62,8 +64,9 @@ def stream_append_once(spark, sf):
         return M.realtime_tags(M.audio_distribution(scored.drop("prediction"), {m: f"p{i}" for i, m in enumerate(MOODS)})).drop(*[f"p{i}" for i in range(len(MOODS))])
 
     io.write_layer(load(spark, sf, "part").selectExpr("concat('T', CAST(p_partkey AS STRING)) AS track_id", "'calm' AS predicted_mood", "'base' AS source", "CAST(NULL AS STRING) AS cover_url"), f"{base}/catalog")
-    f.repartition(6, "track_id").write.parquet(f"{base}/in")
-    X.classify_and_append(X.file_stream(spark, f"{base}/in", f.schema, max_files=2), classify, f"{base}/catalog", f"{base}/history", f"{base}/checkpoint")
+    files = max(6, -(-f.count() // ROWS_PER_FILE))  # dealt row by row: neither the table nor one track lands in a few tasks
+    f.repartition(files).write.parquet(f"{base}/in")
+    X.classify_and_append(X.file_stream(spark, f"{base}/in", f.schema, max_files=-(-files // 3)), classify, f"{base}/catalog", f"{base}/history", f"{base}/checkpoint")
     done = CM.commits(spark, f"{base}/catalog")
     again = sum(sum(CM.append_classified_once(classify(f), f"{base}/catalog", f"{base}/history", c)) for c in done)
     out = None
