@@ -53,3 +53,17 @@ def test_stages_that_differ_are_not_shared(spark):
     pipelines = [make(["a"]), make(["a", "b"])]
     assert L._prepared(pipelines, df, df)[0] is pipelines
     assert len(L._prepared([make(["a"]), make(["a"])], df, df)[1].columns) == 4
+
+
+def test_cuts_are_worked_out_once(spark):
+    df = spark.createDataFrame([(i, i % 3) for i in range(300)] + [(300, None), (301, 9)], "id int, y int")
+    split = K.stratified_split(df, "y", [0, 1, 2, 5], ["id"])
+    folds = K.fold_column(df, ["id"], 3, "y", [0, 1, 2])
+    for out in (split, folds, K.fold_column(df, ["id"], 3)):
+        assert "Aggregate" not in plan(out) and "scalar-subquery" not in plan(out)
+    assert {(r.y, r["count"]) for r in split.filter("is_train").groupBy("y").count().collect()} == {(y, 80) for y in range(3)}
+    assert split.filter("is_train IS NULL").count() == 2
+    assert {r["count"] for r in folds.filter("y < 3").groupBy("y", "fold").count().collect()} <= {33, 34}
+    # copies of a key stay on one side, and the cut is reached
+    copies = spark.range(50).withColumn("k", F.col("id") % 5)
+    assert sorted(r["count"] for r in K.fold_column(copies, ["k"], 2).groupBy("fold").count().collect()) == [20, 30]
