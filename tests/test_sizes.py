@@ -67,3 +67,13 @@ def test_cuts_are_worked_out_once(spark):
     # copies of a key stay on one side, and the cut is reached
     copies = spark.range(50).withColumn("k", F.col("id") % 5)
     assert sorted(r["count"] for r in K.fold_column(copies, ["k"], 2).groupBy("fold").count().collect()) == [20, 30]
+
+
+def test_bronze_lines_are_compressed_in_files_of_bounded_length(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(io, "LINES_PER_FILE", 100)
+    df = spark.range(1000).coalesce(1).select("id", F.concat(F.lit("Song é "), "id").alias("name"))
+    io.append_json_lines(df, f"{tmp_path}/bronze")
+    files = [p.name for p in Path(f"{tmp_path}/bronze").glob("part-*")]
+    assert len(files) == 10 and all(f.endswith(".json.gz") for f in files)
+    back = io.good_lines(io.read_bronze(spark, f"{tmp_path}/bronze", df.schema))
+    assert sorted(back.collect()) == sorted(df.collect())
