@@ -77,3 +77,12 @@ def test_bronze_lines_are_compressed_in_files_of_bounded_length(spark, tmp_path,
     assert len(files) == 10 and all(f.endswith(".json.gz") for f in files)
     back = io.good_lines(io.read_bronze(spark, f"{tmp_path}/bronze", df.schema))
     assert sorted(back.collect()) == sorted(df.collect())
+
+
+def test_doubles_are_not_written_out_as_text(spark):
+    values = [0.1 + 0.2, -0.0, 1e300, float("inf"), float("nan"), None]
+    df = spark.createDataFrame([(v, None if v is None else str(v)) for v in values], "d double, t string")
+    for out in (C.cast_safely(df, {"d": "double", "t": "double"}), C.ensure_numeric(df, ["d", "t"], 7.0)):
+        assert "cast(d" not in plan(out)
+        assert [r.d for r in out.collect()] == [r.t for r in out.collect()]
+    assert [r.d for r in C.cast_safely(df, {"d": "double"}).collect()] == [*values[:4], None, None]
