@@ -86,3 +86,21 @@ def test_doubles_are_not_written_out_as_text(spark):
         assert "cast(d" not in plan(out)
         assert [r.d for r in out.collect()] == [r.t for r in out.collect()]
     assert [r.d for r in C.cast_safely(df, {"d": "double"}).collect()] == [*values[:4], None, None]
+
+
+def test_a_text_is_read_as_a_number_once(spark):
+    df = spark.createDataFrame([("1.5",), ("NaN",), ("bad",), (None,), ("Infinity",)], "t string")
+    out = df.select(N.safe_double(F.col("t")).alias("d"))
+    assert plan(out).count("try_cast(") == 1
+    assert [r.d for r in out.collect()] == [1.5, None, None, None, float("inf")]
+
+
+def test_queries_settle_a_session_made_elsewhere(spark, sf):
+    name, limit = METHOD_LIMIT
+    other = spark.newSession()
+    other.conf.unset(name)
+    QUERIES["silver_tracks"](other, sf)
+    assert other.conf.get(name) == limit
+    other.conf.set(name, "4000")
+    QUERIES["gold_tracks"](other, sf)
+    assert other.conf.get(name) == "4000"  # the caller's own stays
