@@ -25,6 +25,8 @@ from .simhash import Forest
 
 ENTRY = "rep long, label long, n long, vector array<double>"
 CELLED = ENTRY + ", size int, cell long"
+_ROWS = 1_024  # vectors whose bounds or cosines are worked out at once
+_SENT = 4_096  # copies of vectors that a task hands on at once
 
 
 def usable(vec_col: str, label_col: str):
@@ -59,7 +61,7 @@ def plane_bounds(half: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.nd
     """Nearest code, and per code the squared least distance of its region beyond the dividing plane."""
     square = np.maximum((half**2).sum(1)[:, None] - 2 * half @ codes.T + (codes**2).sum(1), 0)
     near = square.argmin(axis=1)
-    between = np.sqrt(((codes[near][:, None, :] - codes[None]) ** 2).sum(2))
+    between = np.stack([np.sqrt(((code - codes) ** 2).sum(1)) for code in codes])[near]
     least = (square - square[np.arange(len(half)), near][:, None]) / np.maximum(2 * between, 1e-12)
     return near, np.where(between > 0, np.maximum(least, 0), 0) ** 2
 
@@ -82,6 +84,20 @@ def visits(bound1: np.ndarray, bound2: np.ndarray, limit: float):
                 heappush(heap, (a[ni] + b[nj], ni, nj))
 
 
+def visited(bounds1: np.ndarray, bounds2: np.ndarray, k: int, limit: float, most: int = _SENT):
+    """Places of queries and the cells that they visit, at most ``most`` at a time: a query may visit every cell."""
+    at, cells = [], []
+    for row, (x, y) in enumerate(zip(bounds1, bounds2)):
+        for i, j in visits(x, y, limit):
+            at.append(row)
+            cells.append(i * k + j)
+            if len(at) == most:
+                yield pa.array(at, pa.int64()), np.array(cells, np.int64)
+                at, cells = [], []
+    if at:
+        yield pa.array(at, pa.int64()), np.array(cells, np.int64)
+
+
 def codebooks(held: DataFrame, cell_rows: int, sample: int) -> dict[int, list[np.ndarray]]:
     """Per vector length the codes of either half; lengths left out have one cell a label.
 
@@ -130,7 +146,7 @@ def embedding_groups(
     repeat an id give a row each.  Extra columns are ignored; an empty table gives no rows.
     ``sample`` bounds the rows on which the codebooks of all lengths are fitted (every row is
     indexed); ``cell_rows`` sets their size from the rows of a length; ``slice_rows`` bounds the
-    blocks compared.
+    blocks compared, on the side of a cell's rows and, at ten times as many, of those that visit it.
     """
     held = written(entries(vectors, id_col, vec_col, label_col), "vectors")
     codes = codebooks(held, cell_rows, sample)
@@ -138,7 +154,7 @@ def embedding_groups(
 
     def by_length(batches):
         """Rows of one length: the rows, their length, codes a half, and the bounds of either half."""
-        for rows in batches:
+        for rows in (batch.slice(s, _ROWS) for batch in batches for s in range(0, batch.num_rows, _ROWS)):
             sizes = pc.list_value_length(rows["vector"])
             for size in pc.unique(sizes).to_pylist():
                 part, cut = rows.filter(pc.equal(sizes, size)), size // 2
@@ -147,7 +163,8 @@ def embedding_groups(
                 yield part, size, len(second), plane_bounds(vec[:, :cut], first), plane_bounds(vec[:, cut:], second)
 
     def unit(rows) -> np.ndarray:
-        vec = np.array(rows["vector"].to_pylist(), float).reshape(rows.num_rows, -1)
+        vec = rows["vector"].combine_chunks() if isinstance(rows, pa.Table) else rows["vector"]
+        vec = vec.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(rows.num_rows, -1)
         vec /= np.abs(vec).max(axis=1, keepdims=True)
         return vec / np.linalg.norm(vec, axis=1, keepdims=True)
 
@@ -161,18 +178,23 @@ def embedding_groups(
 
     def route(batches):
         for part, size, k, (_, first), (_, second) in by_length(batches):
-            cells = [[i * k + j for i, j in visits(x, y, limit)] for x, y in zip(first, second)]
-            at = np.repeat(np.arange(part.num_rows), [len(c) for c in cells])
-            yield celled(part.take(pa.array(at)), size, np.concatenate(cells).astype(np.int64))
+            for at, cells in visited(first, second, k, limit):
+                yield celled(part.take(at), size, cells)
 
     indexed = written(held.mapInArrow(place, CELLED), "cells")
-    # a large cell: its rows in slices, its queries in chunks, each pair of them one group
-    parts = written(indexed.groupBy("size", "label", "cell").agg(F.ceil(F.count("*") / slice_rows).alias("slices")), "cell-sizes")
-    every = F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)
+    # a large cell: its rows in slices, its queries in chunks, each pair of them one group; any vector of the label may visit it
+    own = indexed.groupBy("size", "label", "cell").agg(F.count("*").alias("rows"))
+    visitors = own.groupBy("size", "label").agg(F.sum("rows").alias("visitors"))
+    parts = own.join(visitors, ["size", "label"]).select(
+        "size", "label", "cell", F.ceil(F.col("rows") / slice_rows).alias("slices"),
+        F.greatest(F.ceil(F.col("rows") / slice_rows), F.ceil(F.col("visitors") / (10 * slice_rows))).alias("chunks"),
+    )
+    parts = written(parts, "cell-sizes")
 
     def dealt(rows, own: str, other: str, seed: int):
-        sized = rows.join(parts.select("size", "label", "cell", "slices"), ["size", "label", "cell"])
-        return sized.select("rep", "label", "n", "vector", "size", "cell", F.pmod(F.xxhash64("rep", F.lit(seed)), "slices").alias(own), F.explode(every).alias(other))
+        sized = rows.join(parts, ["size", "label", "cell"])
+        every = F.sequence(F.lit(0).cast("long"), F.col(f"{other}s") - 1)
+        return sized.select("rep", "label", "n", "vector", "size", "cell", F.pmod(F.xxhash64("rep", F.lit(seed)), f"{own}s").alias(own), F.explode(every).alias(other))
 
     index = dealt(indexed, "slice", "chunk", 2)
     asked = dealt(held.mapInArrow(route, CELLED), "chunk", "slice", 3)
@@ -184,12 +206,11 @@ def embedding_groups(
         if queries.num_rows and stored.num_rows:
             own, other = queries["rep"].to_numpy(), stored["rep"].to_numpy()
             weight, right = stored["n"].to_numpy(), unit(stored).T
-            left = unit(queries)
             nodes = np.unique(np.concatenate([own, other]))
             forest = Forest(len(nodes))
             at_own, at_other = np.searchsorted(nodes, own), np.searchsorted(nodes, other)
-            for s in range(0, len(own), 1024):
-                hit = (left[s : s + 1024] @ right >= threshold) & (own[s : s + 1024, None] != other)
+            for s in range(0, len(own), _ROWS):
+                hit = (unit(queries.slice(s, _ROWS)) @ right >= threshold) & (own[s : s + _ROWS, None] != other)
                 links = hit @ weight
                 for i in np.flatnonzero(links).tolist():  # one row per query: its links here
                     out["a"].append(int(own[s + i]))

@@ -330,6 +330,28 @@ def test_embedding_groups(spark):
     assert embedding_dedup.embedding_groups(table.where("false")).count() == 0
 
 
+def test_embedding_search_holds_bounded_pieces(spark):
+    import tracemalloc
+
+    rng = np.random.default_rng(6)
+    half, codes = rng.normal(size=(4_000, 32)), rng.normal(size=(100, 32))
+    tracemalloc.start()
+    near, bounds = embedding_dedup.plane_bounds(half, codes)
+    assert tracemalloc.get_traced_memory()[1] < 40e6  # all differences of codes at once are 102 MB
+    tracemalloc.stop()
+    square = ((half[:5, None] - codes[None]) ** 2).sum(2)
+    for row, own, told in zip(square, near, bounds):
+        gap = np.sqrt(((codes[own] - codes) ** 2).sum(1))
+        assert np.allclose(np.sqrt(told), np.where(gap > 0, (row - row[own]) / np.maximum(2 * gap, 1e-12), 0))
+    pieces = list(embedding_dedup.visited(bounds[:50, :6], bounds[:50, 6:12], 6, 1e9, most=100))
+    assert [len(c) for _, c in pieces] == [100] * 18 and sorted(zip(sum((a.to_pylist() for a, _ in pieces), []), np.concatenate([c for _, c in pieces]))) == [(i, c) for i in range(50) for c in range(36)]
+    # cells whose visitors are dealt to more chunks than their rows to slices
+    vectors = np.repeat(rng.normal(size=(30, 8)), 8, axis=0) + rng.normal(size=(240, 8)) * 0.03
+    table = spark.createDataFrame([(i, 1, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, label long, embedding array<double>")
+    few, plain = (embedding_dedup.embedding_groups(table, cell_rows=4, slice_rows=n).orderBy("vec_id").collect() for n in (2, 2_000))
+    assert few == plain and max(r.n_links for r in plain) > 1
+
+
 def test_embedding_groups_of_several_lengths(spark):
     """A longer stray vector leaves the links of the others; each length links by itself."""
     rng = np.random.default_rng(4)
