@@ -19,6 +19,7 @@ from . import activity as A
 
 MAX_PHRASES = 5_000
 EXACT_MATCH = 1e-12
+GROUP_CHARS = 2_000_000  # texts that ask together for the document frequencies of their terms
 PART_CHARS = 1_000_000  # a text has three to four terms per character, each a row until it is counted
 
 
@@ -49,28 +50,36 @@ def char_grams(text: Column, lo: int = 3, hi: int = 5) -> Column:
     return F.flatten(per_word)
 
 
-def terms(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``(key, kind, term, tf)``: kind 0 words, kind 1 character grams."""
+def terms(df: DataFrame, key: str, text: str, also: list[str] = ()) -> DataFrame:
+    """``(also, key, kind, term, tf)``: kind 0 words, kind 1 character grams; ``also`` names columns that follow from the key."""
     both = F.concat(
         F.transform(word_grams(F.col(text)), lambda t: F.struct(F.lit(0).alias("kind"), t.alias("term"))),
         F.transform(char_grams(F.col(text)), lambda t: F.struct(F.lit(1).alias("kind"), t.alias("term"))),
     )
-    listed = df.select(key, F.inline_outer(both)).filter("term IS NOT NULL")
-    return listed.groupBy(key, "kind", "term").agg(F.count("*").cast("double").alias("tf"))
+    listed = df.select(*also, key, F.inline_outer(both)).filter("term IS NOT NULL")
+    return listed.groupBy(*also, key, "kind", "term").agg(F.count("*").cast("double").alias("tf"))
 
 
 def tf_idf(df: DataFrame, key: str, text: str) -> DataFrame:
     """``(key, kind, term, weight)``: smoothed idf over all texts, each text's kind of unit length.
 
-    Term counts are aggregated before they are joined; a term that most texts share is a skewed key
-    that adaptive execution splits, as its other side is one row.  The vocabulary grows with the texts,
-    so it is merged and never broadcast: a broadcast would pass through the driver.
+    The texts are dealt to groups, of about ``GROUP_CHARS`` characters, which are the partitions of all that
+    follows: terms are counted and weighed where their text is, and only the distinct terms of a group travel, to be counted over
+    all groups and back.  The vocabulary grows with the texts, so it is never broadcast: a broadcast would pass through the driver.
     """
-    counted = terms(df, key, text)
-    n = df.agg(F.count("*")).scalar()
-    known = counted.groupBy("kind", "term").agg((F.ln((1.0 + n) / (1.0 + F.count("*"))) + 1.0).alias("idf"))
-    weighed = counted.join(known.hint("merge"), ["kind", "term"]).withColumn("w", F.col("tf") * F.col("idf"))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy(key, "kind")))
+    told = df.agg(F.sum(F.length(text)).alias("chars"), F.count("*").alias("n")).first()
+    groups = max(df.sparkSession.sparkContext.defaultParallelism, -(-(told["chars"] or 0) // GROUP_CHARS))
+    dealt = df.select(F.pmod(F.xxhash64(key), F.lit(groups)).alias("_group"), key, text).repartition(groups, "_group")
+    counted = terms(dealt, key, text, ["_group"])
+    asked = counted.groupBy("_group", "kind", "term").agg(F.count("*").alias("n"))
+    idf = F.ln((1.0 + told["n"]) / (1.0 + F.sum("n"))) + 1.0
+    known = asked.groupBy("kind", "term").agg(idf.alias("idf"), F.collect_list("_group").alias("_groups"))
+    known = known.select("kind", "term", "idf", F.explode("_groups").alias("_group")).repartition(groups, "_group")
+    # a join would deal both sides again by all of its keys; a window leaves the groups where they are
+    both = counted.unionByName(known, allowMissingColumns=True)
+    idf = F.max("idf").over(W.partitionBy("_group", "kind", "term"))
+    weighed = both.withColumn("idf", idf).filter("tf IS NOT NULL").withColumn("w", F.col("tf") * F.col("idf"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy("_group", key, "kind")))
     return weighed.select(key, "kind", "term", (F.col("w") / norm).alias("weight"))
 
 

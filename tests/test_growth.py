@@ -40,6 +40,19 @@ def test_a_growing_vocabulary_is_not_broadcast(spark):
     assert "Broadcast" not in PH.tf_idf(df, "k", "t")._jdf.queryExecution().executedPlan().toString()
 
 
+def test_counted_terms_stay_with_their_texts(spark, monkeypatch):
+    texts = [(i, f"uno dos tres {i % 7} {'cuatro' * (i % 3)}") for i in range(40)] + [(1, "uno uno"), (None, "dos"), (41, None)]
+    df = spark.createDataFrame(texts, "k int, t string")
+    whole = sorted(map(str, PH.tf_idf(df, "k", "t").selectExpr("k", "kind", "term", "round(weight, 9)").collect()))
+    monkeypatch.setattr(PH, "GROUP_CHARS", 30)
+    out = PH.tf_idf(df, "k", "t")
+    told = out._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line.split("hashpartitioning(")[1].split(", ")[:-1] for line in told.splitlines() if "Exchange hashpartitioning" in line]
+    # texts by their group, a group's distinct terms over all groups and back; no exchange of a row per text and term
+    assert len(exchanges) == 4 and not any(c.startswith("k#") for e in exchanges for c in e)
+    assert whole == sorted(map(str, out.selectExpr("k", "kind", "term", "round(weight, 9)").collect())) and any("k=None" in r for r in whole)
+
+
 def test_texts_are_dealt_by_their_characters(spark, monkeypatch):
     monkeypatch.setattr(PH, "PART_CHARS", 50)
     df = spark.createDataFrame([(i, "quiero correr por el parque") for i in range(60)], "k int, t string")
