@@ -19,7 +19,7 @@ from . import activity as A
 
 MAX_PHRASES = 5_000
 EXACT_MATCH = 1e-12
-GROUP_CHARS = 2_000_000  # texts that ask together for the document frequencies of their terms
+GROUP_CHARS = 250_000  # texts that ask together for the document frequencies of their terms
 PART_CHARS = 1_000_000  # a text has three to four terms per character, each a row until it is counted
 
 
